@@ -19,9 +19,16 @@ def from_json_value(raw: DataFrame, schema: T.StructType, carry: list[str] | Non
     """
     carried = [c for c in (CARRIED if carry is None else carry) if c in raw.columns]
     arrived = [F.col("timestamp").alias("arrived_at")] if "timestamp" in raw.columns else []
-    parsed = F.from_json(F.col("value").cast("string"), schema)
-    return raw.select(*carried, *arrived, "value", parsed.alias("d")).select(
-        *carried, *(["arrived_at"] if arrived else []), "value", "d.*")
+    return raw.select(*carried, *arrived, "value", once(F.from_json(F.col("value").cast("string"), schema)))
+
+
+def once(parsed: Column) -> Column:
+    """The fields of a parsed struct as columns.
+
+    Going through a generator keeps later filters above the parse. As a plain projection they
+    would be pushed below it, and every condition would parse the text again.
+    """
+    return F.inline_outer(F.array(parsed))
 
 
 def with_event_time(df: DataFrame, parse=times.iso) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citystream import schemas
+from citystream.operators.decode import once
 from citystream.operators.latest import compact, latest_by_key
+from citystream.operators.quality import is_json_object
 
 ADDED = ["route_name", "terminal", "scheduled_arrival_time"]
 FAILED = '{"error":"ENRICHMENT_FAILED"}'
@@ -19,9 +21,8 @@ def current_schedule(changes: DataFrame) -> DataFrame:
 
 def schedule_from_topic(raw: DataFrame) -> DataFrame:
     """Changelog envelope to a table keyed by the record key."""
-    parsed = F.from_json("value", schemas.ROUTE_SCHEDULE)
-    return compact(raw).select(F.col("key").alias("route_id"), parsed.alias("d")).select(
-        "route_id", *[f"d.{c}" for c in ADDED])
+    content = compact(raw).select("key", once(F.from_json("value", schemas.ROUTE_SCHEDULE)))
+    return content.select(F.col("key").alias("route_id"), *ADDED)
 
 
 def with_route(gps: DataFrame, schedule: DataFrame) -> DataFrame:
@@ -44,16 +45,16 @@ def enriched_records(raw_gps: DataFrame, schedule: DataFrame) -> DataFrame:
     A payload that is no JSON object, or a matched timetable row that lacks a field, becomes
     the fixed error record instead of failing the job.
     """
-    parsed = F.from_json("value", schemas.BUS_GPS).alias("g")
-    is_object = F.expr("try_variant_get(try_parse_json(value), '$', 'map<string,variant>')").isNotNull()
-    gps = raw_gps.select("key", parsed, is_object.alias("_ok"))
+    fields = schemas.BUS_GPS.fieldNames()
+    gps = raw_gps.select("key", is_json_object(F.col("value")).alias("_ok"),
+                         once(F.from_json("value", schemas.BUS_GPS)))
     found = schedule.select(F.col("route_id").alias("key"), *ADDED, F.lit(True).alias("_found"))
     joined = gps.join(found, "key", "left")
-    complete = F.col("_found").isNull()
-    whole = F.lit(True)
+    usable = F.lit(True)
     for c in ADDED:
-        whole = whole & F.col(c).isNotNull()
+        usable &= F.col(c).isNotNull()
+    usable |= F.col("_found").isNull()
     filled = [F.when(F.col("_found"), F.col(c)).otherwise(F.lit("UNKNOWN")).alias(c) for c in ADDED]
-    text = F.to_json(F.struct("g.*", *filled), {"ignoreNullFields": "false"})
+    text = F.to_json(F.struct(*fields, *filled), {"ignoreNullFields": "false"})
     return joined.select(
-        "key", F.when(F.col("_ok") & (complete | whole), text).otherwise(F.lit(FAILED)).alias("value"))
+        "key", F.when(F.col("_ok") & usable, text).otherwise(F.lit(FAILED)).alias("value"))

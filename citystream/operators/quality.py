@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citystream import schemas
+from citystream.operators.decode import once
 
 # Per topic: (reason, condition), the first one that holds names the error.
 RULES: dict[str, list[tuple[str, str]]] = {
@@ -29,18 +31,19 @@ def error_reason(topic: str) -> Column:
     return reason
 
 
+def is_json_object(text: Column) -> Column:
+    return F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT").eqNullSafe(F.lit(True))
+
+
 def check(df: DataFrame, topic: str, flag_malformed: bool = False) -> DataFrame:
     """Adds ``error_reason``.
 
-    With ``flag_malformed``, text that is not a JSON object (``value`` there, no field read)
-    is reported as such instead of as missing values.
+    With ``flag_malformed``, text in ``value`` that is not a JSON object is reported as such
+    instead of as missing values.
     """
     reason = error_reason(topic)
     if flag_malformed:
-        fields = schemas.BY_TOPIC[topic].fieldNames()
-        unread = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
-        no_object = F.expr("try_variant_get(try_parse_json(value), '$', 'map<string,variant>')").isNull()
-        reason = F.when(unread & no_object, F.lit(MALFORMED)).otherwise(reason)
+        reason = F.when(~is_json_object(F.col("value")), F.lit(MALFORMED)).otherwise(reason)
     return df.withColumn("error_reason", reason)
 
 
@@ -72,6 +75,24 @@ def all_dead_letters(by_topic: dict[str, DataFrame], **how) -> DataFrame:
     return whole
 
 
+def dead_letters_of_mixed(raw: DataFrame, flag_malformed: bool = False) -> DataFrame:
+    """Rejected records of an envelope that mixes topics: one pass, one parse per record.
+
+    Only the fields the rules look at are parsed; the event is passed on as it came.
+    """
+    needed = T.StructType([schemas.AIR_QUALITY["aqi"], schemas.BUS_GPS["lat"], schemas.BUS_GPS["lon"]])
+    reason = F.lit(None).cast("string")
+    for topic in RULES:
+        reason = F.when(F.col("topic") == topic, error_reason(topic)).otherwise(reason)
+    if flag_malformed:
+        reason = F.when(F.col("topic").isin(list(RULES)) & ~is_json_object(F.col("value")),
+                        F.lit(MALFORMED)).otherwise(reason)
+    parsed = raw.select("topic", "partition", "offset", "value", once(F.from_json("value", needed)))
+    return parsed.withColumn("error_reason", reason).where(F.col("error_reason").isNotNull()).select(
+        "error_reason", F.col("topic").alias("source_topic"), "partition", "offset",
+        F.col("value").alias("original_event"))
+
+
 def dlq_json(dlq: DataFrame) -> DataFrame:
     """Dead letters as outgoing records, the original event nested rather than quoted.
 

@@ -5,10 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from citystream import schemas
 from citystream.operators import advisory, decode, energy, enrich, quality
 from citystream.streaming import sinks
 
@@ -50,10 +48,7 @@ def start_health_advisories(raw: DataFrame, zones: DataFrame, servers: str, topi
 
 def dead_letters(raw: DataFrame, flag_malformed: bool = False) -> DataFrame:
     """Rejected rows of an envelope stream that mixes the validated topics."""
-    return quality.all_dead_letters(
-        {topic: decode.from_json_value(raw.where(F.col("topic") == topic), schemas.BY_TOPIC[topic])
-         for topic in quality.RULES},
-        original=F.col("value"), flag_malformed=flag_malformed)
+    return quality.dead_letters_of_mixed(raw, flag_malformed)
 
 
 def enriched_gps(raw: DataFrame, schedule: DataFrame) -> DataFrame:
