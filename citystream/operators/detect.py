@@ -109,6 +109,12 @@ def as_incident(alerts: DataFrame, subject: Column) -> DataFrame:
     return alerts.select("alert_type", subject.alias("subject"), "event_timestamp", full_json(*body).alias("value"))
 
 
+def alert_records(alerts: DataFrame) -> DataFrame:
+    """Alerts as outgoing records without a key, stamped, nulls kept."""
+    stamp = stamped(alerts.drop("event_time"))
+    return stamp.select(F.lit(None).cast("string").alias("key"), full_json(*stamp.columns).alias("value"))
+
+
 def incidents(aqi: DataFrame, gridlock: DataFrame, bunching: DataFrame) -> DataFrame:
     return (as_incident(aqi, F.col("sensor_id"))
             .unionByName(as_incident(gridlock, F.col("junction_id")))

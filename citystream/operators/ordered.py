@@ -9,21 +9,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citystream.functions.times import time_slice
+from citystream.functions.times import epoch_ms, time_slice
 
 SLICE_MS = 3_600_000
+ROWS_PER_SLICE = 5_000_000
+
+
+def fit_slice_ms(df: DataFrame, keys: Sequence[str], ts: str, rows: int = ROWS_PER_SLICE) -> int:
+    """A slice length at which no (keys, slice) has more than ``rows`` rows.
+
+    Counts per slice are reduced before the shuffle and only their maximum is fetched. Busy
+    keys or bursts shorten the slices, down to a millisecond.
+    """
+    length = SLICE_MS
+    while length > 1:
+        counts = df.groupBy(*keys, time_slice(F.col(ts), length).alias("_slice")).count()
+        peak = counts.agg(F.max("count")).first()[0] or 0
+        if peak <= rows:
+            break
+        length = max(1, min(length // 2, length * rows // peak))
+    return length
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], ts: str, slice_ms: int | None) -> DataFrame:
+    length = slice_ms or fit_slice_ms(df, keys, ts)
+    return df.withColumn("_slice", time_slice(F.col(ts), length))
+
+
+def _position(ts: str, seq: str) -> Column:
+    return F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))
 
 
 def trailing_values(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, n: int,
-                    out: str, slice_ms: int = SLICE_MS) -> DataFrame:
+                    out: str, slice_ms: int | None = None) -> DataFrame:
     """Adds ``out``: the last ``n`` values of the key up to and including this row.
 
     Fewer than ``n`` entries while the key has not had that many rows. ``value`` must not be null.
     """
-    sliced = df.withColumn("_slice", time_slice(F.col(ts), slice_ms))
+    sliced = _sliced(df, keys, ts, slice_ms)
     local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq)
     one = F.lit(1)
     marked = sliced.withColumns({
@@ -39,10 +65,10 @@ def trailing_values(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value
 
 
 def neighbour_positions(df: DataFrame, keys: Sequence[str], ts: str, seq: str, before: str, after: str,
-                        slice_ms: int = SLICE_MS) -> DataFrame:
+                        slice_ms: int | None = None) -> DataFrame:
     """Adds ``before`` and ``after``: ``struct(ts, seq)`` of the key's adjacent rows, or NULL."""
-    sliced = df.withColumn("_slice", time_slice(F.col(ts), slice_ms))
-    here = F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))
+    sliced = _sliced(df, keys, ts, slice_ms)
+    here = _position(ts, seq)
     local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq)
     across = Window.partitionBy(*keys).orderBy(ts, seq)
     found = sliced.withColumns({before: F.lag(here).over(local), after: F.lead(here).over(local)})
@@ -54,13 +80,31 @@ def neighbour_positions(df: DataFrame, keys: Sequence[str], ts: str, seq: str, b
     return found.where(~open_end).unionByName(edge).drop("_slice")
 
 
-def running_max(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, out: str,
-                slice_ms: int = SLICE_MS) -> DataFrame:
-    """Adds ``out``: the greatest non-null ``value`` of the key up to and including this row."""
-    sliced = df.withColumn("_slice", time_slice(F.col(ts), slice_ms))
-    local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (sliced.groupBy(*keys, "_slice").agg(F.max(value).alias("_top"))
-               .withColumn("_carry", F.max("_top").over(earlier)).drop("_top"))
-    return (sliced.withColumn(out, F.max(value).over(local)).join(carried, [*keys, "_slice"])
-            .withColumn(out, F.greatest(out, "_carry")).drop("_slice", "_carry"))
+def run_starts(df: DataFrame, keys: Sequence[str], ts: str, seq: str, previous: str, out: str,
+               slice_ms: int | None = None) -> DataFrame:
+    """Adds ``out``: the time in milliseconds at which the row's run began.
+
+    A row goes on with a run if ``previous`` (``struct(ts, seq)``) is the row of the key right
+    before it; otherwise, or with NULL there, it begins a new one.
+    """
+    sliced = _sliced(df, keys, ts, slice_ms)
+    here, ms = _position(ts, seq), epoch_ms(F.col(ts))
+    local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq)
+    inside = F.col("_before").isNotNull() & ~F.col("_before").eqNullSafe(F.col(previous))
+    marked = (sliced.withColumn("_before", F.lag(here).over(local))
+              .withColumn("_start", F.when(inside, ms))
+              .withColumn("_local", F.max("_start").over(local.rowsBetween(Window.unboundedPreceding, 0))))
+
+    # One row per slice says whether its first row goes on from an earlier slice, and since when.
+    across = Window.partitionBy(*keys).orderBy("_slice")
+    goes_on = F.lag("_last").over(across).eqNullSafe(F.col("_first.previous")) & F.col("_first.previous").isNotNull()
+    carried = (
+        marked.groupBy(*keys, "_slice").agg(
+            F.min(F.struct(here.alias("here"), F.col(previous).alias("previous"))).alias("_first"),
+            F.max(here).alias("_last"), F.max("_start").alias("_inside"))
+        .withColumn("_head", F.when(~goes_on, epoch_ms(F.col("_first.here.ts"))))
+        .withColumn("_earlier", F.max(F.greatest("_inside", "_head")).over(
+            across.rowsBetween(Window.unboundedPreceding, -1)))
+        .select(*keys, "_slice", F.greatest("_head", "_earlier").alias("_carry")))
+    return (marked.join(carried, [*keys, "_slice"]).withColumn(out, F.greatest("_local", "_carry"))
+            .drop("_slice", "_before", "_start", "_local", "_carry"))

@@ -14,7 +14,7 @@ from citystream.functions.geo import haversine_m, with_cell, with_cells_within
 from citystream.functions.times import epoch_ms
 from citystream.operators.cooldown import cooldown
 from citystream.operators.detect import BUNCHING_ALERT
-from citystream.operators.ordered import neighbour_positions, running_max
+from citystream.operators.ordered import fit_slice_ms, neighbour_positions, run_starts
 from citystream.session import cut
 
 # Fixed values of the city's bunching rule.
@@ -42,15 +42,15 @@ def _bucket(ms, level):
     return number
 
 
-def contacts(gps: DataFrame, near_m: float = NEAR_M) -> DataFrame:
+def contacts(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None) -> DataFrame:
     """One row per report and other vehicle of the route that was last seen closer than ``near_m``.
 
     ``other_timestamp`` tells when that was. ``previous`` is the report that last changed the distance of this pair, or NULL at its first.
     """
     seen = neighbour_positions(
         usable_positions(gps).select("route_id", "bus_id", "lat", "lon", "timestamp", "event_time", "offset"),
-        ["route_id", "bus_id"], "event_time", "offset", "before", "after")
-    seen = seen.withColumns({"ms": epoch_ms(F.col("event_time")),
+        ["route_id", "bus_id"], "event_time", "offset", "before", "after", slice_ms)
+    seen = cut(seen).withColumns({"ms": epoch_ms(F.col("event_time")),
                              "here": F.struct(F.col("event_time").alias("ts"), F.col("offset").alias("seq"))})
 
     # A vehicle without a later report keeps its position up to the end of the data.
@@ -85,16 +85,13 @@ def contacts(gps: DataFrame, near_m: float = NEAR_M) -> DataFrame:
         F.when(F.col("before").isNotNull(), F.greatest("before", "known_at")).alias("previous"))
 
 
-def near_runs(met: DataFrame) -> DataFrame:
+def near_runs(met: DataFrame, slice_ms: int | None = None) -> DataFrame:
     """Adds ``near_ms``: how long the pair has been near without a report that parted it.
 
     A run goes on as long as the report that last changed the pair's distance was itself a
     contact; so separations need no rows of their own.
     """
-    linked = neighbour_positions(met, PAIR, "event_time", "offset", "last_contact", "next_contact")
-    goes_on = F.col("last_contact").eqNullSafe(F.col("previous")) & F.col("previous").isNotNull()
-    started = linked.withColumn("started", F.when(~goes_on, epoch_ms(F.col("event_time"))))
-    runs = running_max(started, PAIR, "event_time", "offset", "started", "run_start")
+    runs = run_starts(met, PAIR, "event_time", "offset", "previous", "run_start", slice_ms)
     return runs.withColumn("near_ms", epoch_ms(F.col("event_time")) - F.col("run_start"))
 
 
@@ -108,14 +105,14 @@ def bunching_alert_columns(df: DataFrame, near_m: int = NEAR_M) -> DataFrame:
     })
 
 
-def bunching_candidates(gps: DataFrame, near_m: int = NEAR_M, near_for_ms: int = NEAR_FOR_MS) -> DataFrame:
-    met = cut(contacts(gps, near_m))
-    return near_runs(met).where(F.col("near_ms") >= near_for_ms).select(
-        *PAIR, "timestamp", "event_time", "offset", "distance_m", "near_ms")
-
-
 def bus_bunching(gps: DataFrame, near_m: int = NEAR_M, near_for_ms: int = NEAR_FOR_MS,
-                 cooldown_ms: int = COOLDOWN_MS) -> DataFrame:
-    found = cut(bunching_candidates(gps, near_m, near_for_ms))
+                 cooldown_ms: int = COOLDOWN_MS, slice_ms: int | None = None) -> DataFrame:
+    # One slice length serves reports and pairs: a pair has at most the contacts that its two
+    # vehicles have reports.
+    usable = usable_positions(gps)
+    length = slice_ms or fit_slice_ms(usable, ["route_id", "bus_id"], "event_time")
+    met = cut(contacts(usable, near_m, length))
+    found = cut(near_runs(met, length).where(F.col("near_ms") >= near_for_ms).select(
+        *PAIR, "timestamp", "event_time", "offset", "distance_m", "near_ms"))
     kept = cooldown(found, PAIR, "event_time", "offset", cooldown_ms)
     return bunching_alert_columns(kept, near_m).select(*BUNCHING_ALERT, "event_time")

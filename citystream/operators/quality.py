@@ -106,6 +106,11 @@ def dlq_json(dlq: DataFrame) -> DataFrame:
             .alias("original_event")), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def reasons_of_topic(raw: DataFrame) -> DataFrame:
+    """``error_reason`` of outgoing dead-letter records, NULL where a record has none."""
+    return raw.select(F.get_json_object("value", "$.error_reason").alias("error_reason"))
+
+
 def error_report(dlq: DataFrame) -> DataFrame:
     reason = F.coalesce(F.col("error_reason"), F.lit("UNKNOWN"))
     return dlq.groupBy(reason.alias("error_reason")).agg(F.count(F.lit(1)).alias("errors"))

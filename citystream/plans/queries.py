@@ -14,7 +14,7 @@ from citystream.operators.decode import usable_air_readings, usable_meter_readin
 from citystream.operators.latest import latest_by_key
 from citystream.session import scratch
 from citystream.sources import city, streams, tables
-from citystream.streaming import detectors, jobs, lanes, sinks
+from citystream.streaming import jobs, lanes, sinks
 
 NOW = {"availableNow": True}
 AVG_DP = 9
@@ -142,18 +142,15 @@ def route_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aqi_emergency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    air = jobs.decode.detector_input(_raw(spark, sf_dir, "air_quality"), "air_quality")
-    return _replay(detectors.aqi_emergencies(air)).select(*detect.AQI_ALERT)
+    return _replay(jobs.alerts(_raw(spark, sf_dir, "air_quality"), "air_quality")).select(*detect.AQI_ALERT)
 
 
 def gridlock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signals = jobs.decode.detector_input(_raw(spark, sf_dir, "traffic_signals"), "traffic_signals")
-    return _gridlock_result(_replay(detectors.gridlocks(signals)))
+    return _gridlock_result(_replay(jobs.alerts(_raw(spark, sf_dir, "traffic_signals"), "traffic_signals")))
 
 
 def bus_bunching_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gps = jobs.decode.detector_input(_raw(spark, sf_dir, "bus_gps"), "bus_gps")
-    return _replay(detectors.bus_bunching(gps)).select(*detect.BUNCHING_ALERT)
+    return _replay(jobs.alerts(_raw(spark, sf_dir, "bus_gps"), "bus_gps")).select(*detect.BUNCHING_ALERT)
 
 
 def _lane(lane: str):

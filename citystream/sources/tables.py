@@ -30,6 +30,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", "true").csv(path)
 
 
+def _published(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Fixed rows as a relation whose size the planner knows, unlike that of an RDD."""
+    values = ", ".join(str(row) for row in rows)
+    names = ", ".join(schema.fieldNames())
+    return spark.sql(f"select * from values {values} as t({names})").to(schema)
+
+
 def zone_profile(spark: SparkSession, path: str | None = None) -> DataFrame:
     """From a CSV file, or the published five zones.
 
@@ -38,13 +45,13 @@ def zone_profile(spark: SparkSession, path: str | None = None) -> DataFrame:
     """
     if path:
         return read_csv(spark, path, schemas.ZONE_PROFILE)
-    return spark.createDataFrame(ZONE_PROFILE_ROWS, schemas.ZONE_PROFILE)
+    return _published(spark, ZONE_PROFILE_ROWS, schemas.ZONE_PROFILE)
 
 
 def route_schedule(spark: SparkSession, path: str | None = None) -> DataFrame:
     if path:
         return read_csv(spark, path, schemas.ROUTE_SCHEDULE)
-    return spark.createDataFrame(ROUTE_SCHEDULE_ROWS, schemas.ROUTE_SCHEDULE)
+    return _published(spark, ROUTE_SCHEDULE_ROWS, schemas.ROUTE_SCHEDULE)
 
 
 def cached_reference(df: DataFrame, view: str) -> tuple[DataFrame, int]:

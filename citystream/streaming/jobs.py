@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from citystream.operators import advisory, decode, energy, enrich, quality
-from citystream.streaming import sinks
+from citystream.operators import advisory, decode, detect, energy, enrich, quality
+from citystream.streaming import detectors, sinks
 
 ADVISORY_TRIGGER = {"processingTime": "30 seconds"}
 
@@ -62,3 +62,25 @@ def start_enriched_gps(raw: DataFrame, read_changes: Callable[[], DataFrame], pa
     return sinks.to_table(
         raw, path, checkpoint, trigger=trigger,
         each_batch=lambda batch: enrich.enriched_records(batch, enrich.schedule_from_topic(read_changes())))
+
+
+DETECTORS = {
+    "air_quality": detectors.aqi_emergencies,
+    "traffic_signals": detectors.gridlocks,
+    "bus_gps": detectors.bus_bunching,
+}
+
+
+def alerts(raw: DataFrame, topic: str, **how) -> DataFrame:
+    """The alerts of one topic's rule, each with the columns of its kind."""
+    return DETECTORS[topic](decode.detector_input(raw, topic), **how)
+
+
+def start_detectors(read: Callable[[str], DataFrame], servers: str, topic: str, checkpoints: str,
+                    trigger: dict | None = None) -> list[StreamingQuery]:
+    """All rules, one query and checkpoint each, into one topic of incidents."""
+    return [
+        sinks.to_kafka(detect.alert_records(alerts(read(source), source)), servers, topic,
+                       f"{checkpoints}/{source}_alerts", trigger=trigger)
+        for source in DETECTORS
+    ]

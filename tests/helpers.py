@@ -7,7 +7,8 @@ import math
 import os
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 T0 = datetime(2024, 3, 1)
 
@@ -79,23 +80,24 @@ def bunching(rows, near=200, hold=300, again=300):
     return alerts
 
 
-def write_batches(spark, folder, batches):
+def write_batches(folder, batches):
     """One Parquet file of envelope rows per batch, in order of modification time.
 
-    batches: lists of (topic, partition, offset, event dict or text)
+    batches: lists of (topic, partition, offset, event dict or text, key)
     """
     os.makedirs(folder, exist_ok=True)
     stamp = 1_700_000_000 + len(os.listdir(folder)) * 10
     for rows in batches:
-        data = [(None, v if isinstance(v, str) else json.dumps(v), topic, p, o, T0) for topic, p, o, v in rows]
-        df = spark.createDataFrame(data, "key string, value string, topic string, partition int, offset bigint, "
-                                         "timestamp timestamp")
-        pdf_path = os.path.join(folder, f"part-{stamp}.parquet")
-        df.toPandas().astype({"timestamp": "datetime64[us]"}).to_parquet(
-            pdf_path, coerce_timestamps="us", index=False)
-        os.utime(pdf_path, (stamp, stamp))
+        texts = [r[3] if isinstance(r[3], str) else json.dumps(r[3]) for r in rows]
+        table = pa.table({
+            "key": pa.array([r[4] if len(r) > 4 else None for r in rows], pa.string()),
+            "value": pa.array(texts, pa.string()),
+            "topic": pa.array([r[0] for r in rows], pa.string()),
+            "partition": pa.array([r[1] for r in rows], pa.int32()),
+            "offset": pa.array([r[2] for r in rows], pa.int64()),
+            "timestamp": pa.array([T0] * len(rows), pa.timestamp("us", tz="UTC")),
+        })
+        path = os.path.join(folder, f"part-{stamp}.parquet")
+        pq.write_table(table, path)
+        os.utime(path, (stamp, stamp))
         stamp += 10
-
-
-def ms_of(df):
-    return df.withColumn("ms", F.unix_millis("event_time"))

@@ -66,11 +66,11 @@ def _walk(seed, n=700, buses=6, routes=2, gap=(1, 5, 40, 4000), step=0.0008):
     return rows
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_bunching_against_replay(spark, seed):
+@pytest.mark.parametrize("seed,slice_ms", [(0, None), (1, 30_000), (2, 600_000)])
+def test_bunching_against_replay(spark, seed, slice_ms):
     rows = _walk(seed)
     got = sorted((r.route_id, r.bus_1, r.bus_2, r.event_time, r.distance_m)
-                 for r in proximity.bus_bunching(gps(spark, rows)).collect())
+                 for r in proximity.bus_bunching(gps(spark, rows), slice_ms=slice_ms).collect())
     want = sorted((r, a, b, at(t), d) for r, a, b, t, d in bunching(rows))
     assert len(want) > 5
     assert [g[:4] for g in got] == [w[:4] for w in want]
@@ -107,6 +107,12 @@ def test_grid_finds_every_near_point(spark, lat0, lon0):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_alert_records(spark):
+    record = detect.alert_records(detect.gridlocks(signals(spark, [("j", i, 200.0) for i in range(3)]))).first()
+    assert record.key is None and '"consecutive_readings_sec":[200,200,200]' in record.value
+    assert "alert_generated_at" in record.value and '"event_time"' not in record.value
+
+
 def test_alert_texts(spark):
     alerts = detect.aqi_emergencies(air(spark, [("a", 0, 350)]))
     row = detect.as_incident(detect.stamped(alerts.withColumn("no2", F.lit(None).cast("double"))), F.col("sensor_id")).first()

@@ -1,10 +1,10 @@
 import numpy as np
 import pytest
-from helpers import at, frame
+from helpers import T0, at, frame
 from pyspark.sql import functions as F
 
 from citystream.functions.times import epoch_ms
-from citystream.operators.ordered import neighbour_positions, running_max, trailing_values
+from citystream.operators.ordered import fit_slice_ms, neighbour_positions, run_starts, trailing_values
 
 SCHEMA = "k string, event_time timestamp, seq bigint, v int"
 
@@ -43,18 +43,34 @@ def test_neighbours(data, slice_ms):
 
 
 @pytest.mark.parametrize("slice_ms", [1, 1_000, 60_000, 10**9])
-def test_running_max(data, slice_ms):
+def test_run_starts(spark, data, slice_ms):
+    """Some links are missing and some point past a neighbour; both begin a new run."""
+    _, per_key = data
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for k, entries in per_key.items():
+        start = None
+        for i, (t, seq, _) in enumerate(entries):
+            kind = rng.random()
+            back = 1 if kind < 0.9 else 2
+            link = entries[i - back] if i >= back and kind < 0.97 else None
+            if back == 2 or link is None:
+                start = t
+            want[seq] = round((start - T0).total_seconds() * 1000)
+            rows.append((k, t, seq, link[:2] if link else None))
+    df = frame(spark, rows, "k string, event_time timestamp, seq bigint, p struct<ts: timestamp, seq: bigint>")
+    base = epoch_ms(F.lit(at(0)))
+    found = run_starts(df, ["k"], "event_time", "seq", "p", "start", slice_ms)
+    assert {r.seq: r.since for r in found.select("seq", (F.col("start") - base).alias("since")).collect()} == want
+
+
+def test_slices_shrink_for_busy_keys(data):
     df, per_key = data
-    sparse = df.withColumn("w", F.when(F.col("v") % 3 == 0, F.col("v")))
-    got = {r.seq: r.top for r in running_max(sparse, ["k"], "event_time", "seq", "w", "top", slice_ms).collect()}
-    want = {}
-    for rows in per_key.values():
-        top = None
-        for _, seq, v in rows:
-            if v % 3 == 0:
-                top = v if top is None else max(top, v)
-            want[seq] = top
-    assert got == want
+    most = max(len(rows) for rows in per_key.values())
+    assert fit_slice_ms(df, ["k"], "event_time", most) == 3_600_000
+    length = fit_slice_ms(df, ["k"], "event_time", 20)
+    counts = df.groupBy("k", F.floor(epoch_ms(F.col("event_time")) / length)).count()
+    assert 1 < length < 3_600_000 and counts.agg(F.max("count")).first()[0] <= 20
 
 
 def test_epoch_ms_floors(spark):
