@@ -53,12 +53,12 @@ def aqi_emergencies(air: DataFrame, seq: str = "offset", limit: float = AQI_LIMI
 
 
 def consecutive_above(df: DataFrame, keys: Sequence[str], value: str, ts: str, seq: str, limit: float,
-                      n: int, above: bool = True) -> DataFrame:
+                      n: int, above: bool = True, slice_ms: int | None = None) -> DataFrame:
     """Rows at which the last ``n`` values of the key all exceed ``limit`` (or all fall short of it).
 
     Null values are passed over and do not interrupt a run. Adds ``readings``.
     """
-    seen = trailing_values(df.where(F.col(value).isNotNull()), keys, ts, seq, value, n, "readings")
+    seen = trailing_values(df.where(F.col(value).isNotNull()), keys, ts, seq, value, n, "readings", slice_ms)
     holds = F.array_min("readings") > limit if above else F.array_max("readings") < limit
     return seen.where((F.size("readings") == n) & holds)
 
@@ -92,8 +92,9 @@ def gridlocks(signals: DataFrame, limit: int = WAIT_LIMIT_SEC, cycles: int = WAI
 
 def low_power_factor(summary: DataFrame, limit: float, windows: int) -> DataFrame:
     """Ward windows at which the mean power factor was below ``limit`` for ``windows`` in a row."""
+    # Summaries are evenly spaced, so a slice of a month is small without measuring.
     found = consecutive_above(summary, ["ward_id"], "avg_power_factor", "window_start", "window_end",
-                              limit, windows, above=False)
+                              limit, windows, above=False, slice_ms=31 * 86_400_000)
     return found.select("ward_id", "window_start", "window_end", "avg_power_factor",
                         F.lit(windows).alias("windows_below"))
 

@@ -7,7 +7,7 @@ cell and time bucket, so far-apart pairs are never formed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citystream.functions.geo import haversine_m, with_cell, with_cells_within
@@ -35,7 +35,15 @@ def usable_positions(gps: DataFrame) -> DataFrame:
         & (F.col("bus_id") != "") & (F.col("route_id") != ""))
 
 
-def _bucket(ms, level):
+def _level() -> Column:
+    """The finest level whose buckets are as long as the position stays current."""
+    level = F.lit(ENDLESS)
+    for i, length in reversed(list(enumerate(BUCKETS_MS))):
+        level = F.when(F.col("until") - F.col("ms") <= length, F.lit(i)).otherwise(level)
+    return level
+
+
+def _bucket(ms: Column, level: Column) -> Column:
     number = F.lit(0).cast("bigint")
     for i, length in enumerate(BUCKETS_MS):
         number = F.when(level == i, F.floor(ms / length)).otherwise(number)
@@ -54,23 +62,20 @@ def contacts(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None
                              "here": F.struct(F.col("event_time").alias("ts"), F.col("offset").alias("seq"))})
 
     # A vehicle without a later report keeps its position up to the end of the data.
-    last_ms = gps.agg(F.max(epoch_ms(F.col("event_time")))).scalar()
-    until = F.coalesce(epoch_ms(F.col("after.ts")), last_ms)
-    level = F.lit(ENDLESS)
-    for i, length in reversed(list(enumerate(BUCKETS_MS))):
-        level = F.when(F.col("until") - F.col("ms") <= length, F.lit(i)).otherwise(level)
+    last_ms = seen.agg(F.max("ms")).scalar()
+    seen = seen.withColumn("until", F.coalesce(epoch_ms(F.col("after.ts")), last_ms)).withColumn("level", _level())
+    levels = [r.level for r in seen.select("level").distinct().collect()]  # ENDLESS + 1 values at most
     known = (
-        seen.withColumn("until", until).withColumn("level", level)
-        .select("route_id", "level",
-                F.col("bus_id").alias("other_bus"), F.col("lat").alias("other_lat"),
-                F.col("lon").alias("other_lon"), F.col("timestamp").alias("other_timestamp"),
-                F.col("here").alias("known_at"), F.col("after").alias("replaced_at"),
-                F.explode(F.sequence(_bucket(F.col("ms"), F.col("level")),
-                                     _bucket(F.col("until"), F.col("level")))).alias("bucket")))
+        seen.select("route_id", "level",
+                    F.col("bus_id").alias("other_bus"), F.col("lat").alias("other_lat"),
+                    F.col("lon").alias("other_lon"), F.col("timestamp").alias("other_timestamp"),
+                    F.col("here").alias("known_at"), F.col("after").alias("replaced_at"),
+                    F.explode(F.sequence(_bucket(F.col("ms"), F.col("level")),
+                                         _bucket(F.col("until"), F.col("level")))).alias("bucket")))
     known = with_cells_within(known, "other_lat", "other_lon", near_m)
     reports = (
-        with_cell(seen.drop("after"), "lat", "lon", near_m)
-        .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(ENDLESS))))
+        with_cell(seen.drop("after", "until", "level"), "lat", "lon", near_m)
+        .withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
         .withColumn("bucket", _bucket(F.col("ms"), F.col("level"))))
 
     met = reports.join(known, ["route_id", "level", "bucket", "band", "cell"]).where(
