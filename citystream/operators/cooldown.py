@@ -145,5 +145,6 @@ def cooldown(df: DataFrame, keys: Sequence[str], ts: str, seq: str, interval_ms:
     kept = surviving_times(times, keys, interval_ms, slice_ms)
     rest = [c for c in df.columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(ts, seq)).alias("_row")
-    return (timed.join(kept, [*keys, "_t"]).groupBy(*keys, "_t").agg(first)
-            .select(*keys, "_row.*").select(*df.columns))
+    # Before the join, so that many copies of one reading are reduced where they are read.
+    firsts = timed.groupBy(*keys, "_t").agg(first)
+    return firsts.join(kept, [*keys, "_t"]).select(*keys, "_row.*").select(*df.columns)
