@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +33,19 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or a temporary one if unset."""
+    """The folder all executors see: ``spark.checkpoint.dir``.
+
+    On one machine (a ``local[...]`` master) it may be unset; then a folder in the warehouse serves.
+    On a cluster an unset folder is an error: a local default would be a different disk per executor.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="citystream-"))
+        if not configured:
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
 
@@ -48,6 +55,11 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so several consumers do not recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` to the shared folder once, so several consumers do not recompute it.
+
+    Parquet with the frame's own columns; a lost executor costs nothing, since the table stays.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
