@@ -212,6 +212,8 @@ def masked(docs: DataFrame, found: DataFrame, mask: str = "[SECRET]") -> DataFra
     """
     spans = cut(found.where("spans <> ''").groupBy(F.col("doc_id").alias("_id")).agg(F.first("spans").alias("_spans")))
 
+    names = docs.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
@@ -225,9 +227,8 @@ def masked(docs: DataFrame, found: DataFrame, mask: str = "[SECRET]") -> DataFra
                         at = max(at, end)
                     texts[k] = "".join(out) + texts[k][at:]
                     counts[k] = len(texts[k])
-            fields = [batch.schema.field(f.name) for f in docs.schema.fields]
             new = {"text": pa.array(texts, batch.schema.field("text").type), "n_chars": pa.array(counts, batch.schema.field("n_chars").type)}
-            yield pa.RecordBatch.from_arrays([new.get(f.name, batch.column(f.name)) for f in fields], names=[f.name for f in fields])
+            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in names], names=names)
 
     joined = docs.join(spans, F.col("doc_id") == F.col("_id"), "left").drop("_id")
     return joined.mapInArrow(run, docs.schema)
