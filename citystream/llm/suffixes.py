@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm.words import BLOCK, FACTOR, mix, powers, slices, text_bytes
-from citystream.session import cut, scratch
+from citystream.session import cut, release_shuffles, scratch
 
 LENGTH, GRAM, BATCHES = 400, 300, 4
 NEIGHBOURS = LENGTH - GRAM + 1
@@ -216,6 +216,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     (docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text").repartition(n, "uid")
      .write.bucketBy(n, "uid").option("path", path).option("compression", "zstd").saveAsTable(name))
     texts = spark.table(name)
+    release_shuffles(spark)
     suffixes = cut(texts.select("uid", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(
         _anchor_rows, "uid long, mark array<long>"))
     index, repeated = Levels(), None
@@ -223,6 +224,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         marks = suffixes.where(F.pmod(F.xxhash64("uid"), F.lit(BATCHES)) == batch).select(F.explode("mark").alias("mark"))
         again = index.insert(marks)
         repeated = again if repeated is None else repeated.union(again)
+        release_shuffles(spark)
     again = cut(suffixes.select("uid", F.explode("mark").alias("mark")).join(repeated.distinct(), "mark", "left_semi")
                 .groupBy("uid").agg(F.collect_list("mark").alias("again")))
     part = texts.select("uid", "text")
@@ -231,6 +233,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     equal = cut(compared.groupBy("h", "g").agg(
         F.count("*").alias("n"), F.min(F.struct("uid", "first", "last", "mark")).alias("one")).where("n > 1"))
     settled = cut(_spans(compared.join(equal.select("h", "g"), ["h", "g"], "left_semi")))
+    release_shuffles(spark)
     edges = cut(with_again.join(settled.hint("shuffle_hash"), "uid", "left").mapInArrow(_keys("edges"), KEYS))
     spelled = equal.select("one.*").join(edges.select("mark").distinct(), "mark", "left_semi")
     inside = part.join(_spans(spelled).hint("shuffle_hash"), "uid").mapInArrow(_keys("spans"), KEYS)
