@@ -13,7 +13,7 @@ import time
 
 from citystream.plans.queries import QUERIES
 from citystream.session import build
-from citystream.sources import city
+from citystream.plans import city
 
 HEADLINE = [
     "ward_energy", "ward_energy_lake", "ward_report_daily", "low_power_factor", "rolling_aqi",

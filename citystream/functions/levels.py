@@ -31,4 +31,5 @@ def advisory_message(aqi: Column) -> Column:
 
 
 def severity(aqi: Column) -> Column:
-    return by_breakpoint(aqi, SEVERITIES)
+    """NaN is above no bound here, unlike in Spark's order."""
+    return by_breakpoint(F.nullif(aqi, F.lit(float("nan"))), SEVERITIES)

@@ -138,9 +138,9 @@ def cooldown(df: DataFrame, keys: Sequence[str], ts: str, seq: str, interval_ms:
     """Rows of ``df`` that come at least ``interval_ms`` after the last kept row of their key.
 
     Rows are taken in order of time and ``seq``; of several rows in the same millisecond only
-    the first can be kept. ``df`` is read twice, so pass a table or a checkpointed result.
+    the first can be kept; rows without a time have no place in the order and are not kept. ``df`` is read twice, so pass a table or a checkpointed result.
     """
-    timed = df.withColumn("_t", epoch_ms(F.col(ts)))
+    timed = df.where(F.col(ts).isNotNull()).withColumn("_t", epoch_ms(F.col(ts)))
     times = timed.select(*keys, "_t").distinct()
     kept = surviving_times(times, keys, interval_ms, slice_ms)
     rest = [c for c in df.columns if c not in keys]

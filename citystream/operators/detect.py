@@ -34,8 +34,8 @@ BUNCHING_ALERT = ["alert_type", "route_id", "bus_1", "bus_2", "distance_m", "dur
 
 
 def aqi_candidates(air: DataFrame, limit: float = AQI_LIMIT) -> DataFrame:
-    """Readings strictly above the limit, without an upper bound."""
-    return air.where(F.col("aqi") > limit).withColumn("sensor_id", or_default("sensor_id", "unknown"))
+    """Readings strictly above the limit, without an upper bound; NaN is above nothing."""
+    return air.where((F.col("aqi") > limit) & ~F.isnan("aqi")).withColumn("sensor_id", or_default("sensor_id", "unknown"))
 
 
 def aqi_alert_columns(df: DataFrame) -> DataFrame:
@@ -48,7 +48,9 @@ def aqi_alert_columns(df: DataFrame) -> DataFrame:
 
 def aqi_emergencies(air: DataFrame, seq: str = "offset", limit: float = AQI_LIMIT,
                     cooldown_ms: int = AQI_COOLDOWN_MS) -> DataFrame:
-    kept = cooldown(aqi_candidates(air, limit), ["sensor_id"], "event_time", seq, cooldown_ms)
+    # one pass over the raw readings; what it leaves is small and has only what an alert needs
+    found = cut(aqi_candidates(air, limit).select("sensor_id", "zone", "aqi", "pm25", "pm10", "no2", "timestamp", "event_time", seq))
+    kept = cooldown(found, ["sensor_id"], "event_time", seq, cooldown_ms)
     return aqi_alert_columns(kept).select(*AQI_ALERT, "event_time")
 
 

@@ -43,11 +43,10 @@ def enriched_records(raw_gps: DataFrame, schedule: DataFrame) -> DataFrame:
     """Envelope in, outgoing records out: text join on the record key.
 
     A payload that is no JSON object, or a matched timetable row that lacks a field, becomes
-    the fixed error record instead of failing the job.
+    the fixed error record instead of failing the job. The event's own text is kept as it came, fields the
+    schema does not know included; the timetable's fields are put before its closing brace.
     """
-    fields = schemas.BUS_GPS.fieldNames()
-    gps = raw_gps.select("key", is_json_object(F.col("value")).alias("_ok"),
-                         once(F.from_json("value", schemas.BUS_GPS)))
+    gps = raw_gps.select("key", "value", is_json_object(F.col("value")).alias("_ok"))
     found = schedule.select(F.col("route_id").alias("key"), *ADDED, F.lit(True).alias("_found"))
     joined = gps.join(found, "key", "left")
     usable = F.lit(True)
@@ -55,6 +54,8 @@ def enriched_records(raw_gps: DataFrame, schedule: DataFrame) -> DataFrame:
         usable &= F.col(c).isNotNull()
     usable |= F.col("_found").isNull()
     filled = [F.when(F.col("_found"), F.col(c)).otherwise(F.lit("UNKNOWN")).alias(c) for c in ADDED]
-    text = F.to_json(F.struct(*fields, *filled), {"ignoreNullFields": "false"})
+    own = F.regexp_replace("value", r"\s*\}\s*$", "")
+    added = F.substring(F.to_json(F.struct(*filled), {"ignoreNullFields": "false"}), 2, 1_000_000)
+    text = F.concat(own, F.when(F.rlike(own, F.lit(r"^\s*\{$")), F.lit("")).otherwise(F.lit(",")), added)
     return joined.select(
         "key", F.when(F.col("_ok") & usable, text).otherwise(F.lit(FAILED)).alias("value"))

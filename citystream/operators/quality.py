@@ -13,14 +13,15 @@ from citystream.operators.decode import once
 RULES: dict[str, list[tuple[str, str]]] = {
     "air_quality": [
         ("NULL_AQI", "aqi is null"),
-        ("AQI_OUT_OF_RANGE", "aqi < 0 or aqi > 500"),
+        ("AQI_OUT_OF_RANGE", "(aqi < 0 or aqi > 500) and not isnan(aqi)"),
     ],
     "bus_gps": [
         ("NULL_GPS_COORDINATE", "lat is null or lon is null"),
-        ("INVALID_GPS_COORDINATES", "lat < -90 or lat > 90 or lon < -180 or lon > 180"),
+        ("INVALID_GPS_COORDINATES", "((lat < -90 or lat > 90) and not isnan(lat)) or ((lon < -180 or lon > 180) and not isnan(lon))"),
     ],
 }
 MALFORMED = "MALFORMED_JSON"
+UNTIMED = "NULL_EVENT_TIME"
 
 
 def error_reason(topic: str) -> Column:
@@ -55,8 +56,11 @@ def dead_letters(df: DataFrame, topic: str, original: Column | None = None,
                  flag_malformed: bool = False) -> DataFrame:
     """Rejected rows in one layout for all topics; the event itself is kept as JSON text.
 
-    ``original`` defaults to the payload rebuilt from the typed columns, with nulls kept.
+    ``original`` defaults to the text in ``value`` where the frame has it, so that the value that caused the
+    rejection is kept, else to the payload rebuilt from the typed columns, with nulls kept.
     """
+    if original is None and dict(df.dtypes).get("value") == "string":
+        original = F.col("value")
     if original is None:
         original = F.to_json(F.struct(*schemas.BY_TOPIC[topic].fieldNames()), {"ignoreNullFields": "false"})
     return check(df, topic, flag_malformed).where(F.col("error_reason").isNotNull()).select(
@@ -67,6 +71,14 @@ def dead_letters(df: DataFrame, topic: str, original: Column | None = None,
         original.alias("original_event"))
 
 
+def untimed(df: DataFrame, topic: str) -> DataFrame:
+    """Rows whose event time is unknown, in the layout of dead letters: the ordered rules cannot place them."""
+    original = F.to_json(F.struct(*schemas.BY_TOPIC[topic].fieldNames()), {"ignoreNullFields": "false"})
+    return df.where(F.col("event_time").isNull()).select(
+        F.lit(UNTIMED).alias("error_reason"), F.lit(topic).alias("source_topic"), F.col("partition").cast("int").alias("partition"),
+        F.col("offset").cast("bigint").alias("offset"), original.alias("original_event"))
+
+
 def all_dead_letters(by_topic: dict[str, DataFrame], **how) -> DataFrame:
     parts = [dead_letters(df, topic, **how) for topic, df in by_topic.items()]
     whole = parts[0]

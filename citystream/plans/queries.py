@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from citystream.functions import times
 from citystream.operators import advisory, detect, energy, enrich, feed, proximity, quality, retention
 from citystream.operators.decode import usable_air_readings, usable_meter_readings
 from citystream.operators.latest import latest_by_key
-from citystream.session import scratch
-from citystream.sources import city, streams, tables
+from citystream.session import cut, scratch
+from citystream.plans import city
+from citystream.sources import streams, tables
 from citystream.streaming import jobs, lanes, sinks
 
 NOW = {"availableNow": True}
@@ -179,9 +181,11 @@ def health_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def health_advisories_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _view("air_quality", spark, sf_dir).createOrReplaceTempView("aqi_stream")
-    tables.zone_profile(spark).createOrReplaceTempView("zone_profile")
-    return _advisory_result(advisory.advisories_sql(spark))
+    # names of this call alone, so that two calls on two folders do not change each other's views
+    names = [f"{v}_{uuid.uuid4().hex}" for v in ("aqi_stream", "zone_profile", "rolling_aqi")]
+    _view("air_quality", spark, sf_dir).createOrReplaceTempView(names[0])
+    tables.zone_profile(spark).createOrReplaceTempView(names[1])
+    return _advisory_result(advisory.advisories_sql(spark, *names))
 
 
 # -- data quality --------------------------------------------------------------------------
@@ -216,7 +220,7 @@ def route_enriched_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def route_enriched_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_route(_view("bus_gps", spark, sf_dir).select(*POSITION),
-                             route_schedule_latest(spark, sf_dir))
+                             cut(route_schedule_latest(spark, sf_dir)))
 
 
 def route_schedule_latest(spark: SparkSession, sf_dir: str) -> DataFrame:

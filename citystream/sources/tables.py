@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citystream import schemas
+from citystream.operators.latest import latest_by_key
 
 # The five zones and five routes the city publishes.
 ZONE_PROFILE_ROWS = [
@@ -49,8 +50,10 @@ def zone_profile(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 
 def route_schedule(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """From a CSV file, where the last of several lines of a route counts, or the published five routes."""
     if path:
-        return read_csv(spark, path, schemas.ROUTE_SCHEDULE)
+        lines = read_csv(spark, path, schemas.ROUTE_SCHEDULE).withColumn("_line", F.monotonically_increasing_id())
+        return latest_by_key(lines, ["route_id"], ["_line"]).drop("_line")
     return _published(spark, ROUTE_SCHEDULE_ROWS, schemas.ROUTE_SCHEDULE)
 
 

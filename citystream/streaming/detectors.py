@@ -19,50 +19,31 @@ from citystream.functions.geo import EARTH_RADIUS_M
 from citystream.functions.times import epoch_ms
 from citystream.operators import detect, proximity
 
-# How far out of order each stream may be. Only used to expire idle state.
-AQI_DELAY = "10 seconds"
-SIGNALS_DELAY = "10 seconds"
-GPS_DELAY = "30 seconds"
-
-
 def _in_order(batches: Iterable[pd.DataFrame]) -> pd.DataFrame:
     rows = pd.concat(list(batches), ignore_index=True)
     return rows.sort_values(["ms", "offset"], kind="stable", ignore_index=True)
 
 
-def _stateful(df: DataFrame, key: str, rule: Callable, extra: list[T.StructField], state: str,
-              idle_ms: int | None) -> DataFrame:
+def _stateful(df: DataFrame, key: str, rule: Callable, extra: list[T.StructField], state: str) -> DataFrame:
     """Runs ``rule(rows, state tuple or None) -> (kept positions, added columns, state tuple)`` per key.
 
-    Without ``idle_ms`` state is kept for good and no row is ever too late. With it, a key's state
-    is dropped once the watermark is that far past its last row, and rows behind the watermark
-    are dropped as well.
+    State is kept for good and no row is ever too late. Rows without an event time have no place in the order
+    and raise no alert; ``quality.untimed`` lists them.
     """
     columns = [c for c in df.columns if c != "event_time"]
     out = T.StructType([*[df.schema[c] for c in columns], *extra])
-    if not idle_ms:
-        df = df.select(*columns)
+    df = df.where(F.col("event_time").isNotNull()).select(*columns)
 
     def run(_: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        if held.hasTimedOut:
-            held.remove()
-            return
         rows = _in_order(batches)
         at, added, after = rule(rows, held.get if held.exists else None)
         held.update(after)
-        if idle_ms:
-            held.setTimeoutTimestamp(max(int(rows["ms"].max()), held.getCurrentWatermarkMs()) + idle_ms)
         kept = rows.iloc[at].reset_index(drop=True)
         for field, values in zip(extra, added):
             kept[field.name] = values
         yield kept[[*columns, *[f.name for f in extra]]]
 
-    timeout = GroupStateTimeout.EventTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout
-    return df.groupBy(key).applyInPandasWithState(run, out, state, "append", timeout)
-
-
-def _tolerant(df: DataFrame, delay: str, idle_ms: int | None) -> DataFrame:
-    return df.withWatermark("event_time", delay) if idle_ms else df
+    return df.groupBy(key).applyInPandasWithState(run, out, state, "append", GroupStateTimeout.NoTimeout)
 
 
 def _thin(ms: list[int], last: int | None, interval: int) -> tuple[list[int], int | None]:
@@ -74,9 +55,8 @@ def _thin(ms: list[int], last: int | None, interval: int) -> tuple[list[int], in
     return kept, last
 
 
-def aqi_emergencies(air: DataFrame, limit: float = detect.AQI_LIMIT, cooldown_ms: int = detect.AQI_COOLDOWN_MS,
-                    idle_ms: int | None = None) -> DataFrame:
-    found = detect.aqi_candidates(_tolerant(air, AQI_DELAY, idle_ms), limit).select(
+def aqi_emergencies(air: DataFrame, limit: float = detect.AQI_LIMIT, cooldown_ms: int = detect.AQI_COOLDOWN_MS) -> DataFrame:
+    found = detect.aqi_candidates(air, limit).select(
         "sensor_id", "zone", "aqi", "pm25", "pm10", "no2", "timestamp", "offset", "event_time",
         epoch_ms(F.col("event_time")).alias("ms"))
 
@@ -84,13 +64,13 @@ def aqi_emergencies(air: DataFrame, limit: float = detect.AQI_LIMIT, cooldown_ms
         kept, last = _thin(rows["ms"].tolist(), state[0] if state else None, cooldown_ms)
         return kept, [], (last,)
 
-    kept = _stateful(found, "sensor_id", rule, [], "last_ms long", idle_ms)
+    kept = _stateful(found, "sensor_id", rule, [], "last_ms long")
     return detect.aqi_alert_columns(kept).select(*detect.AQI_ALERT)
 
 
 def gridlocks(signals: DataFrame, limit: int = detect.WAIT_LIMIT_SEC, cycles: int = detect.WAIT_CYCLES,
-              cooldown_ms: int = detect.WAIT_COOLDOWN_MS, idle_ms: int | None = None) -> DataFrame:
-    readings = (detect.gridlock_input(_tolerant(signals, SIGNALS_DELAY, idle_ms)).where(F.col("avg_wait_sec").isNotNull())
+              cooldown_ms: int = detect.WAIT_COOLDOWN_MS) -> DataFrame:
+    readings = (detect.gridlock_input(signals).where(F.col("avg_wait_sec").isNotNull())
                 .select("junction_id", "zone", "avg_wait_sec", "timestamp", "offset", "event_time",
                         epoch_ms(F.col("event_time")).alias("ms")))
 
@@ -105,7 +85,7 @@ def gridlocks(signals: DataFrame, limit: int = detect.WAIT_LIMIT_SEC, cycles: in
         return at, [seen], (waits[-cycles:].tolist(), last)
 
     kept = _stateful(readings, "junction_id", rule, [T.StructField("readings", T.ArrayType(T.IntegerType()))],
-                     "history array<int>, last_ms long", idle_ms)
+                     "history array<int>, last_ms long")
     return detect.gridlock_alert_columns(kept, limit, cycles).select(*detect.GRIDLOCK_ALERT)
 
 
@@ -117,12 +97,12 @@ def _distances(lat: float, lon: float, lats: np.ndarray, lons: np.ndarray) -> np
 
 
 def bus_bunching(gps: DataFrame, near_m: int = proximity.NEAR_M, near_for_ms: int = proximity.NEAR_FOR_MS,
-                 cooldown_ms: int = proximity.COOLDOWN_MS, idle_ms: int | None = None) -> DataFrame:
+                 cooldown_ms: int = proximity.COOLDOWN_MS) -> DataFrame:
     """State of a route: last positions, pairs now near (since when), last alert per pair.
 
     Only pairs that are near or have alerted are kept, not all pairs of the route.
     """
-    reports = proximity.usable_positions(_tolerant(gps, GPS_DELAY, idle_ms)).select(
+    reports = proximity.usable_positions(gps).select(
         "route_id", "bus_id", "lat", "lon", "timestamp", "offset", "event_time",
         epoch_ms(F.col("event_time")).alias("ms"))
     extra = [T.StructField("bus_1", T.StringType()), T.StructField("bus_2", T.StringType()),
@@ -177,5 +157,5 @@ def bus_bunching(gps: DataFrame, near_m: int = proximity.NEAR_M, near_for_ms: in
                  [p[0] for p in told], [p[1] for p in told], list(told.values()))
         return at, [ones, twos, metres, spans], after
 
-    kept = _stateful(reports, "route_id", rule, extra, state, idle_ms)
+    kept = _stateful(reports, "route_id", rule, extra, state)
     return proximity.bunching_alert_columns(kept, near_m).select(*detect.BUNCHING_ALERT)

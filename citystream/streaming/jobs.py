@@ -51,6 +51,12 @@ def dead_letters(raw: DataFrame, flag_malformed: bool = False) -> DataFrame:
     return quality.dead_letters_of_mixed(raw, flag_malformed)
 
 
+def start_dead_letters(raw: DataFrame, servers: str, topic: str, checkpoint: str, flag_malformed: bool = False,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """Rejected records to a topic, each with its original event nested."""
+    return sinks.to_kafka(quality.dlq_json(dead_letters(raw, flag_malformed)), servers, topic, checkpoint, trigger=trigger)
+
+
 def enriched_gps(raw: DataFrame, schedule: DataFrame) -> DataFrame:
     """Positions with timetable columns; the timetable is fixed when the query starts."""
     return enrich.enriched_records(raw, schedule)

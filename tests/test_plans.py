@@ -7,7 +7,8 @@ import pytest
 from citystream import schemas
 from citystream.operators import advisory, decode, energy, enrich, proximity, quality
 from citystream.plans.queries import QUERIES, _air, _view
-from citystream.sources import city, tables
+from citystream.plans import city
+from citystream.sources import tables
 
 SF = "/root/testdata/sf0.001"
 

@@ -124,6 +124,35 @@ def test_enriched_records(spark):
     assert got.count(enrich.FAILED) == 2
 
 
+def test_enriched_record_keeps_the_event_as_it_came(spark):
+    source = raw(spark, "bus_gps", ['{"bus_id":"B","lat":1,"driver":"x"}', "{ }"], keys=["R10", "R11"])
+    got = [r.value for r in enrich.enriched_records(source, tables.route_schedule(spark)).orderBy("key").collect()]
+    assert got[0] == ('{"bus_id":"B","lat":1,"driver":"x","route_name":"Airport Express","terminal":"Airport",'
+                      '"scheduled_arrival_time":"08:45"}')
+    assert json.loads(got[1]).keys() == {"route_name", "terminal", "scheduled_arrival_time"}
+
+
+def test_last_line_of_a_route_counts(spark, tmp_path):
+    path = tmp_path / "routes.csv"
+    path.write_text("route_id,route_name,terminal,scheduled_arrival_time\nR10,Old,T,1\n\nR11,Other,T,2\nR10,New,T,3\n")
+    got = {r.route_id: r.route_name for r in tables.route_schedule(spark, str(path)).collect()}
+    assert got == {"R10": "New", "R11": "Other"}
+
+
+def test_nan_is_in_range(spark):
+    df = frame(spark, [(float("nan"),), (600.0,), (10.0,)], "aqi double")
+    assert [r.e for r in df.select(quality.error_reason("air_quality").alias("e")).collect()] == [None, "AQI_OUT_OF_RANGE", None]
+    assert df.select(levels.severity(F.col("aqi")).alias("s")).first().s == "HAZARDOUS"
+
+
+def test_rows_without_time_are_dead_letters(spark):
+    rows = [("a", None, 0, 0), ("b", T0, 0, 1)]
+    df = frame(spark, rows, "sensor_id string, event_time timestamp, partition int, offset bigint")
+    rest = [f.name for f in schemas.AIR_QUALITY if f.name != "sensor_id"]
+    found = quality.untimed(df.select("*", *[F.lit(None).cast(schemas.AIR_QUALITY[c].dataType).alias(c) for c in rest]), "air_quality")
+    assert [(r.error_reason, r.offset) for r in found.collect()] == [(quality.UNTIMED, 0)]
+
+
 def test_changelog_round_trip(spark):
     first = tables.changelog(tables.route_schedule(spark), "route_id", "route_schedule")
     assert first.count() == 5

@@ -187,16 +187,16 @@ def test_lanes_are_independent(spark, tmp_path):
     assert lanes.backlog(found[lanes.STANDARD][0])["batch_id"] == 3
 
 
-def test_idle_state_is_dropped(spark, tmp_path):
-    """After a long silence the sensor's cooldown is forgotten, and the state with it."""
+def test_rows_without_time_raise_no_alert(spark, tmp_path):
+    """A reading whose event time is null is left to the dead letters; the cooldown of the others holds for good."""
     def hot(sensor, seconds):
         return {"sensor_id": sensor, "zone": "N", "aqi": 400, "timestamp": at(seconds).isoformat()}
 
-    write_batches(tmp_path / "in", batches_of("air_quality", [hot("a", 0), hot("b", 5_000), hot("b", 9_000)], 1))
+    write_batches(tmp_path / "in", batches_of("air_quality", [hot("a", 0), hot("a", 100), hot("b", 9_000)], 1))
     raw = decode.detector_input(streams.from_files(spark, str(tmp_path / "in"), max_files=1), "air_quality")
-    query, out = run(spark, detectors.aqi_emergencies(raw, idle_ms=600_000), tmp_path)
-    assert out.count() == 3
-    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1
+    raw = raw.withColumn("event_time", F.when(F.col("sensor_id") != "b", F.col("event_time")))
+    _, out = run(spark, detectors.aqi_emergencies(raw), tmp_path)
+    assert [r.sensor_id for r in out.collect()] == ["a"]
 
 
 def test_kafka_write_options():
