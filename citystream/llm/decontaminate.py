@@ -85,7 +85,7 @@ class Index:
     """Keys of a block of items, and the words to verify against; built once per task."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], stride: int) -> None:
-        self.ids = np.array([i for i, _ in items], np.int64)
+        self.ids = [i for i, _ in items]
         self.words = [w for _, w in items]
         self.stride = min([stride, *(max(1, len(w) // 2) for w in self.words)])
         fits = [max(c for c in CLASSES if c <= max(1, len(w) - self.stride + 1)) for w in self.words]
@@ -145,7 +145,7 @@ def _search(shared, stride: int):
                     edits, first, last = edit_distance(target, words[a:b])
                     if edits <= int(n * TOLERANCE):
                         ended[item, row] = a + last
-                        out.append((part.column("doc_id")[row].as_py(), int(index.ids[item]), edits, n,
+                        out.append((part.column("doc_id")[row].as_py(), index.ids[item], edits, n,
                                     a + first - int(rows[row]), a + last - int(rows[row])))
             if out:
                 yield pa.RecordBatch.from_arrays(
