@@ -122,24 +122,29 @@ class Levels:
     """The index family over ``mark``, the fingerprints of anchored suffixes."""
 
     def __init__(self) -> None:
-        self.levels: dict[int, DataFrame] = {}
+        self.levels: dict[int, list[DataFrame]] = {}
+
+    def _merge(self) -> None:
+        """Two arrays of a size become one of the next; done when the next batch comes, so the last merge is never in vain."""
+        size = 0
+        while size <= max(self.levels, default=-1):
+            if len(self.levels.get(size, [])) == 2:
+                one, other = self.levels.pop(size)
+                self.levels.setdefault(size + 1, []).append(cut(one.union(other).distinct()))
+            size += 1
 
     def insert(self, suffixes: DataFrame) -> DataFrame:
         """Takes in a batch (mark, a row per suffix) and returns the marks now known to occur again.
 
         A mark is returned if the batch holds it twice or a level holds it.
         """
+        self._merge()
         array = cut(suffixes.groupBy("mark").agg(F.count("*").alias("n")))
         again = array.where("n > 1").select("mark")
-        for level in self.levels.values():
+        for level in [x for level in self.levels.values() for x in level]:
             again = again.union(array.select("mark").join(level, "mark"))
-        again = cut(again.distinct())
-        carried, size = array.select("mark"), 0
-        while size in self.levels:
-            carried = cut(carried.union(self.levels.pop(size)).distinct())
-            size += 1
-        self.levels[size] = carried
-        return again
+        self.levels.setdefault(0, []).append(array.select("mark"))
+        return cut(again.distinct())
 
 
 KEYS = "uid long, first int, last int, mark long, h long, g long"
@@ -234,11 +239,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.min(F.struct("uid", "first", "last", "mark")).alias("one")).where("n > 1"))
     settled = cut(_spans(compared.join(equal.select("h", "g"), ["h", "g"], "left_semi")))
     release_shuffles(spark)
-    edges = cut(with_again.join(settled.hint("shuffle_hash"), "uid", "left").mapInArrow(_keys("edges"), KEYS))
+    edges = cut(with_again.join(settled.hint("shuffle_hash"), "uid", "left").mapInArrow(_keys("edges"), KEYS)
+                .drop("last"))
     spelled = equal.select("one.*").join(edges.select("mark").distinct(), "mark", "left_semi")
     inside = part.join(_spans(spelled).hint("shuffle_hash"), "uid").mapInArrow(_keys("spans"), KEYS)
     twice = edges.select("h", "g").unionAll(inside.select("h", "g")).groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1")
-    strings = cut(_spans(edges.join(twice.select("h", "g"), ["h", "g"], "left_semi")))
+    strings = cut(_spans(edges.withColumn("last", F.col("first")).join(twice.select("h", "g"), ["h", "g"], "left_semi")))
     result = (texts.join(settled.withColumnRenamed("spans", "a").hint("shuffle_hash"), "uid", "left")
               .join(strings.withColumnRenamed("spans", "b").hint("shuffle_hash"), "uid", "left").select("doc_id", "text", "a", "b")
               .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, removed array<struct<start:int,end:int>>"))
