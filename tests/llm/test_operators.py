@@ -213,7 +213,7 @@ def test_main_text_of_other_markup(spark):
 @pytest.mark.parametrize("run", [
     neardup.near_duplicates, suffixes.without_repeats, secrets.find_secrets, mixing.mix, spans.without_repeats,
     lambda d: toxicity.score(d, toxicity.Model()), lambda d: quality.score(d, quality.Model()),
-    lambda d: decontaminate.leaks(d, d.selectExpr("doc_id as item_id", "text")).distinct()])
+    lambda d: decontaminate.leaks(d, d.where("text is null or length(text) < 500").selectExpr("doc_id as item_id", "text")).distinct()])
 def test_awkward_and_empty_input(awkward, empty, run):
     assert run(empty).count() == 0
     run(awkward).collect()
