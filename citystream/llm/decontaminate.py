@@ -108,51 +108,70 @@ class Index:
             self.tables.append(tables)
 
 
+def _passages(index: Index, splitter: Splitter, texts: pa.Array, one_each: bool = False) -> Iterator[tuple[int, int, int, int, int]]:
+    """The verified hits in some texts: row, position of the item, edits, first word and last in the row.
+
+    With ``one_each`` a text is done with once a passage is found in it.
+    """
+    _, _, words, rows = splitter.split(*text_bytes(texts))
+    if not len(words):
+        return
+    doc = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    starts = np.flatnonzero((np.arange(len(words)) - rows[doc]) % index.stride == 0)
+    stops = rows[doc[starts] + 1]
+    hits = []
+    for repeat, tables in enumerate(index.tables):
+        with np.errstate(over="ignore"):
+            found = walk_keys(words, starts, stops, repeat, index.classes)
+        for c, (keys, item, offset, present) in tables.items():
+            maybe = np.flatnonzero(present[(found[c] & np.uint64((1 << 20) - 1)).astype(np.int64)])
+            low = np.searchsorted(keys, found[c][maybe], "left")
+            count = np.searchsorted(keys, found[c][maybe], "right") - low
+            which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            hits.append(np.column_stack([item[which], np.repeat(starts[maybe], count) - offset[which]]))
+    ended, done = {}, set()
+    for item, begin in np.unique(np.concatenate(hits), axis=0).tolist():
+        target = index.words[item]
+        n, slack = len(target), int(len(target) * TOLERANCE) + index.stride
+        for row in {int(doc[min(max(at, 0), len(doc) - 1)]) for at in (begin, begin + n // 2)}:
+            if row in done or begin + n // 2 < ended.get((item, row), -1):
+                continue  # the latter: inside a passage that is already found
+            a, b = max(begin - slack, int(rows[row])), min(begin + n + slack, int(rows[row + 1]))
+            if a >= b:
+                continue
+            edits, first, last = edit_distance(target, words[a:b])
+            if edits <= int(n * TOLERANCE):
+                ended[item, row] = a + last
+                if one_each:
+                    done.add(row)
+                yield row, item, edits, a + first - int(rows[row]), a + last - int(rows[row])
+
+
 def _search(shared, stride: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value, stride)
-        splitter = Splitter(letters_only=True)
+        index, splitter = Index(shared.value, stride), Splitter(letters_only=True)
         names = [c.split()[0] for c in FOUND.split(", ")]
         for part in slices(batches, "text"):
-            _, _, words, rows = splitter.split(*text_bytes(part.column("text")))
-            if not len(words):
-                continue
-            doc = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-            starts = np.flatnonzero((np.arange(len(words)) - rows[doc]) % index.stride == 0)
-            stops = rows[doc[starts] + 1]
-            hits = []
-            for repeat, tables in enumerate(index.tables):
-                with np.errstate(over="ignore"):
-                    found = walk_keys(words, starts, stops, repeat, index.classes)
-                for c, (keys, item, offset, present) in tables.items():
-                    maybe = np.flatnonzero(present[(found[c] & np.uint64((1 << 20) - 1)).astype(np.int64)])
-                    low = np.searchsorted(keys, found[c][maybe], "left")
-                    count = np.searchsorted(keys, found[c][maybe], "right") - low
-                    which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    hits.append(np.column_stack([item[which], np.repeat(starts[maybe], count) - offset[which]]))
-            hits = np.unique(np.concatenate(hits), axis=0)
-            out, ended = [], {}
-            for item, begin in hits.tolist():
-                target = index.words[item]
-                n, slack = len(target), int(len(target) * TOLERANCE) + index.stride
-                row = int(doc[min(max(begin, 0), len(doc) - 1)])
-                for row in {row, int(doc[min(max(begin + n // 2, 0), len(doc) - 1)])}:
-                    if begin + n // 2 < ended.get((item, row), -1):
-                        continue  # inside a passage that is already found
-                    a, b = max(begin - slack, int(rows[row])), min(begin + n + slack, int(rows[row + 1]))
-                    if a >= b:
-                        continue
-                    edits, first, last = edit_distance(target, words[a:b])
-                    if edits <= int(n * TOLERANCE):
-                        ended[item, row] = a + last
-                        out.append((part.column("doc_id")[row].as_py(), index.ids[item], edits, n,
-                                    a + first - int(rows[row]), a + last - int(rows[row])))
+            ids = part.column("doc_id")
+            out = [(ids[row].as_py(), index.ids[item], edits, len(index.words[item]), first, last)
+                   for row, item, edits, first, last in _passages(index, splitter, part.column("text"))]
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64()] * 2 + [pa.int32()] * 4, strict=True)], names=names)
     return run
 
 
+def _clean(shared, stride: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, splitter = Index(shared.value, stride), Splitter(letters_only=True)
+        for part in slices(batches, "text"):
+            keep = np.ones(part.num_rows, bool)
+            for row, *_ in _passages(index, splitter, part.column("text"), one_each=True):
+                keep[row] = False
+            yield part.filter(pa.array(keep))
+    return run
+
+
 def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     splitter = Splitter(letters_only=True)
     for part in slices(batches, "text"):
@@ -162,26 +181,39 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["item_id", "words"])
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, item_words: int = ITEM_WORDS) -> DataFrame:
-    """A row per benchmark passage in a document: doc_id, item_id, edits, item_words, first_word, last_word.
-
-    Word positions count from 0, the end is exclusive. Each block of items is a broadcast of at most
-    ``item_words`` words beside its longest item, and one pass over the documents.
-    """
-    spark = docs.sparkSession
+def _shared_items(benchmark: DataFrame, item_words: int) -> Iterator:
+    """The items with words, a broadcast per block of about ``item_words`` words beside its longest item."""
     items = benchmark.select("item_id", "text").mapInArrow(_item_words, "item_id long, words array<long>").where(F.size("words") > 0)
     total = items.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = total // item_words + 1
-    found = None
     for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id").collect()
-        if not rows:
-            continue
-        block_items = [(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in rows]
-        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_search(
-            spark.sparkContext.broadcast(block_items), STRIDE), FOUND)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], FOUND)
+        rows = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == block).orderBy("item_id").collect()
+        if rows:
+            yield benchmark.sparkSession.sparkContext.broadcast(
+                [(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in rows])
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, item_words: int = ITEM_WORDS) -> DataFrame:
+    """A row per benchmark passage in a document: doc_id, item_id, edits, item_words, first_word, last_word.
+
+    Word positions count from 0, the end is exclusive. Each block of items is one pass over the documents.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = docs.sparkSession.createDataFrame([], FOUND)
+    for shared in _shared_items(benchmark, item_words):
+        found = found.unionByName(texts.mapInArrow(_search(shared, STRIDE), FOUND))
+    return found
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, item_words: int = ITEM_WORDS) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no benchmark passage.
+
+    Decided where the text is: nothing is shuffled, and rows without an id or with a repeated one are
+    each judged by their own text.
+    """
+    for shared in _shared_items(benchmark, item_words):
+        docs = docs.mapInArrow(_clean(shared, STRIDE), docs.schema)
+    return docs
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
