@@ -16,7 +16,8 @@ is the same text in many buckets). Where a bucket still spans several components
 different components are compared block against block inside tasks: by signature, then by set;
 only links that join components leave a task, and they are confirmed like the others.
 
-Null and empty texts stand alone. Rows that repeat a doc_id should not occur; they would be one text.
+Null and empty texts stand alone. Rows without a doc_id cannot be named by a component: they are linked with
+nothing, have no component_id and stay. Rows that repeat a doc_id should not occur; they would be one text.
 """
 
 from __future__ import annotations
@@ -205,7 +206,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts, least = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), least_equal()
     signed = cut(texts.mapInArrow(_sign, SIGNED))
     shape = ["hi", "lo", "n_shingles"]
-    classes = (signed.where("n_shingles > 0").groupBy(*shape)
+    classes = (signed.where("n_shingles > 0 and doc_id is not null").groupBy(*shape)
                .agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")))
     copies = signed.select("doc_id", *shape).join(classes.where("size > 1").drop("size"), shape, "left")
     members = cut(copies.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")))
@@ -243,8 +244,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = links.union(_verified(cut(rest), texts))
         grouped = components(links)
     return (members.join(_named(grouped, "node", "component", ("rep", "component")), "rep", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-            .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
+            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
