@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +52,7 @@ ALPHABETS = {
     "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
-BINS = 50
+BINS, RATE = 50, 0.01
 LENGTHS = (20, 24, 28, 32, 40, 48, 64, 96, 128)
 
 
@@ -127,6 +128,27 @@ SCAN = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 stri
         "tests array<struct<start:int,end:int,encoding:string,length:int,bin:int,p:double>>")
 
 
+def tests_of(text: str, found: list[tuple[int, int, str]], run: re.Pattern) -> Iterator[tuple[int, int, str, int, float]]:
+    """The battery's runs clear of ``found`` (sorted): start, end, encoding, length class, p."""
+    starts, ends = [], []
+    for s, e, _ in found:
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    for m in run.finditer(text):
+        s, e = m.span()
+        k = bisect_left(starts, e) - 1  # the last span that starts before the run ends
+        tested = battery(m.group()) if k < 0 or ends[k] <= s else None
+        if tested:
+            yield s, e, tested[0], length_class(e - s), tested[1]
+
+
+def bin_of(p: float) -> int:
+    return min(int(p * BINS), BINS - 1)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     patterns = compiled()
     tests_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("encoding", pa.string()),
@@ -137,16 +159,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = text or ""
             found = spans_of(text, patterns)
             base = ",".join(f"{k}:{s}:{e}" for s, e, k in found)
-            tests, taken = [], {(s, e) for s, e, _ in found}
-            for m in patterns["run"].finditer(text):
-                s, e = m.span()
-                if any(s < y and x < e for x, y in taken):
-                    continue
-                tested = battery(m.group())
-                if tested:
-                    name, p = tested
-                    tests.append({"start": s, "end": e, "encoding": name, "length": length_class(e - s),
-                                  "bin": min(int(p * BINS), BINS - 1), "p": p})
+            tests = [{"start": s, "end": e, "encoding": name, "length": length, "bin": bin_of(p), "p": p}
+                     for s, e, name, length, p in tests_of(text, found, patterns["run"])]
             for column, value in zip(columns, (
                     sum(k == "assign" for *_, k in found), sum(k == "access" for *_, k in found),
                     sum(k == "hex" for *_, k in found), hashlib.sha256(base.encode()).hexdigest(), base, tests),
@@ -181,16 +195,20 @@ def thresholds(tests: DataFrame, rate: float) -> DataFrame:
         "encoding", "length", F.array_min(least).alias("least")).where("least is not null")
 
 
-def find_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
+def _limits(scanned: DataFrame, rate: float) -> dict[tuple[str, int], int]:
+    """The thresholds on the driver: at most one row per encoding and length class, and both lists are fixed."""
+    tested = scanned.select(F.explode("tests").alias("t")).select("t.encoding", "t.length", "t.bin")
+    return {(r.encoding, r.length): r.least for r in thresholds(tested, rate).collect()}
+
+
+def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored).
 
     Columns: doc_id, n_assign, n_access, n_hex, base_sha256, spans. ``spans`` lists all spans as
     ``kind:start:end``, the battery's as kind ``random``.
     """
     scanned = cut(docs.select("doc_id", "text").mapInArrow(_scan, SCAN))
-    tested = scanned.select(F.explode("tests").alias("t")).select("t.encoding", "t.length", "t.bin")
-    # at most one row per encoding and length class, and both lists are fixed
-    limits = [F.lit(x) for r in thresholds(tested, rate).collect() for x in (f"{r.encoding}:{r.length}", r.least)]
+    limits = [F.lit(x) for (encoding, length), least in _limits(scanned, rate).items() for x in (f"{encoding}:{length}", least)]
     limit_of = lambda key: F.coalesce(F.element_at(F.create_map(*limits), key), F.lit(BINS)) if limits else F.lit(BINS)
     passed = F.filter("tests", lambda t: t.bin >= limit_of(F.concat_ws(":", t.encoding, t.length)))
     random = F.transform(passed, lambda t: F.struct(
@@ -204,11 +222,48 @@ def find_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(merged, ",").alias("spans"))
 
 
+def _replaced(text: str, edges: list[tuple[int, int]], mask: str) -> str:
+    out, at = [], 0
+    for start, end in sorted(edges):
+        if start >= at:
+            out += [text[at:start], mask]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def without_secrets(docs: DataFrame, rate: float = RATE, mask: str = "[SECRET]") -> DataFrame:
+    """``docs``, all columns, with every secret replaced and n_chars following the text.
+
+    Two scans, one for the thresholds and one that masks each row's own text where it is: nothing is
+    joined, so rows without an id or with a repeated one are masked like any others. Overlapping spans
+    become one mask; only rows with spans are changed.
+    """
+    limits = _limits(docs.select("doc_id", "text").mapInArrow(_scan, SCAN), rate)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = compiled()
+        for batch in batches:
+            texts, counts = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
+            for k, text in enumerate(texts):
+                if text:
+                    found = spans_of(text, patterns)
+                    edges = [(s, e) for s, e, _ in found] + [
+                        (s, e) for s, e, name, length, p in tests_of(text, found, patterns["run"])
+                        if bin_of(p) >= limits.get((name, length), BINS)]
+                    if edges:
+                        texts[k] = _replaced(text, edges, mask)
+                        counts[k] = len(texts[k])
+            new = {c: pa.array(v, batch.schema.field(c).type) for c, v in (("text", texts), ("n_chars", counts))}
+            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in names], names=names)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def masked(docs: DataFrame, found: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """``docs``, all columns, with every span of ``found`` (doc_id, spans) replaced; n_chars follows the text.
+    """As ``without_secrets``, by a table of spans that is already there (doc_id, spans).
 
-    Overlapping spans become one mask. Only rows with spans are changed. A doc_id that several rows have
-    must have equal texts.
+    A doc_id that several rows have must have equal texts; rows without an id stay as they are.
     """
     spans = cut(found.where("spans <> ''").groupBy(F.col("doc_id").alias("_id")).agg(F.first("spans").alias("_spans")))
 
@@ -219,13 +274,7 @@ def masked(docs: DataFrame, found: DataFrame, mask: str = "[SECRET]") -> DataFra
             texts, counts = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
             for k, listed in enumerate(batch.column("_spans").to_pylist()):
                 if listed and texts[k]:
-                    edges = sorted(tuple(map(int, s.split(":")[1:])) for s in listed.split(","))
-                    out, at = [], 0
-                    for start, end in edges:
-                        if start >= at:
-                            out += [texts[k][at:start], mask]
-                        at = max(at, end)
-                    texts[k] = "".join(out) + texts[k][at:]
+                    texts[k] = _replaced(texts[k], [tuple(map(int, s.split(":")[1:])) for s in listed.split(",")], mask)
                     counts[k] = len(texts[k])
             new = {"text": pa.array(texts, batch.schema.field("text").type), "n_chars": pa.array(counts, batch.schema.field("n_chars").type)}
             yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in names], names=names)
