@@ -85,11 +85,21 @@ def weights(docs: DataFrame, budget: float | None = None, evenness: float = EVEN
     return sources.withColumn("weight", weight).withColumn("quota", F.col("weight") * F.lit(budget))
 
 
-def mix(docs: DataFrame, budget: float | None = None, evenness: float = EVENNESS, most_repeats: float = MOST_REPEATS,
-        seed: int = SEED) -> DataFrame:
-    """The drawn documents: doc_id, source, words, weight, epoch (from 0) and part, a row per copy."""
-    counted = cut(docs.select("doc_id", "source", word_count("text").alias("words"))
-                  .withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(BLOCKS)).cast("int")))
+def _counted(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
+    block = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(BLOCKS)).cast("int")
+    return docs.select("doc_id", "source", word_count("text").alias("words"), block.alias("block"), *more)
+
+
+def _in_block(seed: int) -> Column:
+    """A document's place in the seeded order of its block; only repeated rows tie, and share their fate."""
+    return F.struct(F.xxhash64(F.lit(seed + 2), "doc_id").alias("h"), F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("words").alias("w"))
+
+
+def _plan(counted: DataFrame, budget: float | None, evenness: float, most_repeats: float, seed: int) -> DataFrame:
+    """Per source and block (s, b): weight, full (rounds of all), and up to which place it comes once more.
+
+    ``all`` says that the whole block does; else the documents up to ``last`` do, if there is one.
+    """
     plan = weights(counted, budget, evenness, most_repeats)
     plan = cut(plan.withColumn("full", F.when(F.col("words") > 0, F.floor(F.col("quota") / F.col("words"))).otherwise(F.lit(1)).cast("int"))
                .withColumn("rest", F.col("quota") - F.col("full") * F.col("words")))
@@ -97,22 +107,51 @@ def mix(docs: DataFrame, budget: float | None = None, evenness: float = EVENNESS
     inside = W.partitionBy("source").orderBy("place", "block")     # at most BLOCKS rows a source
     blocks = (counted.groupBy("source", "block").agg(F.sum("words").alias("block_words"))
               .withColumn("place", place).withColumn("upto", F.sum("block_words").over(inside)))
-    same = F.col("source").eqNullSafe(F.col("s"))
-    ready = cut(blocks.join(plan.select(F.col("source").alias("s"), "weight", "full", "rest"), same, "inner").drop("s")
-                .withColumn("before", F.col("upto") - F.col("block_words")))
-    keyed = ready.select(F.col("source").alias("s"), F.col("block").alias("b"), "weight", "full", "rest", "before", "upto")
-    joined = counted.join(keyed, same & (F.col("block") == F.col("b")), "inner").drop("s", "b")
-    # the block where a source's quota ends is cut inside, by a seeded order of its documents
-    partial = (F.col("before") < F.col("rest")) & (F.col("upto") > F.col("rest"))
-    order = W.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(seed + 2), "doc_id"), "doc_id", "words")
-    ended = (joined.where(partial).withColumn("run", F.col("before") + F.sum("words").over(
-        order.rowsBetween(W.unboundedPreceding, 0))).withColumn("more", F.col("run") <= F.col("rest")).drop("run"))
-    whole = joined.where(~partial).withColumn("more", (F.col("upto") <= F.col("rest")) & (F.col("words") > 0))
-    times = F.greatest(F.col("full"), F.when(F.col("words") == 0, 1).otherwise(0)) + F.col("more").cast("int")
-    drawn = whole.unionByName(ended).withColumn("times", F.when(F.col("words") == 0, 1).otherwise(times))
-    copies = drawn.where("times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
-    return copies.select("doc_id", "source", "words", "weight", "epoch",
-                         F.xxhash64(F.lit(seed + 3), "epoch", "source", "block").alias("part"))
+    ready = cut(blocks.join(plan.select(F.col("source").alias("s"), "weight", "full", "rest"), F.col("source").eqNullSafe(F.col("s")), "inner")
+                .select("s", F.col("block").alias("b"), "weight", "full", "rest", "upto", (F.col("upto") - F.col("block_words")).alias("before")))
+    # one block of a source at most, the one where its quota ends, is cut inside
+    ending = ready.where("before < rest and upto > rest").select("s", "b", "before", "rest")
+    order = W.partitionBy("s", "b").orderBy("key")
+    last = (counted.join(ending, _same()).withColumn("key", _in_block(seed))
+            .withColumn("run", F.col("before") + F.sum("words").over(order)).where("run <= rest")
+            .groupBy(F.col("s").alias("ls"), F.col("b").alias("lb")).agg(F.max("key").alias("last")))
+    return cut(ready.join(last, F.col("s").eqNullSafe(F.col("ls")) & (F.col("b") == F.col("lb")), "left")
+               .select("s", "b", "weight", "full", (F.col("upto") <= F.col("rest")).alias("all"), "last"))
+
+
+def _same() -> Column:
+    return F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))
+
+
+def _copies(counted: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """``counted`` with weight, epoch and part, a row per copy."""
+    more = (F.col("all") | F.coalesce(_in_block(seed) <= F.col("last"), F.lit(False))).cast("int")
+    times = F.when(F.col("words") == 0, 1).otherwise(F.col("full") + more)
+    return (counted.join(plan, _same()).withColumn("times", times).where("times > 0")
+            .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
+            .withColumn("part", F.xxhash64(F.lit(seed + 3), "epoch", "source", "block")))
+
+
+def mix(docs: DataFrame, budget: float | None = None, evenness: float = EVENNESS, most_repeats: float = MOST_REPEATS,
+        seed: int = SEED) -> DataFrame:
+    """The drawn documents: doc_id, source, words, weight, epoch (from 0) and part, a row per copy."""
+    counted = cut(_counted(docs, seed))
+    plan = _plan(counted, budget, evenness, most_repeats, seed)
+    return _copies(counted, plan, seed).select("doc_id", "source", "words", "weight", "epoch", "part")
+
+
+def draw(docs: DataFrame, budget: float | None = None, evenness: float = EVENNESS, most_repeats: float = MOST_REPEATS,
+         seed: int = SEED) -> DataFrame:
+    """The drawn copies with all columns of ``docs``, and weight, epoch and part.
+
+    Each row meets the plan (a row per source and block) by itself, so texts are not joined by id and
+    repeated rows or rows without an id do not multiply. Columns of ``docs`` that are named like one of
+    the new ones get ``_before`` added.
+    """
+    plan = _plan(cut(_counted(docs, seed)), budget, evenness, most_repeats, seed)
+    new = ["weight", "epoch", "part"]
+    own = [F.col(f"row.`{c}`").alias(f"{c}_before" if c in new else c) for c in docs.columns]
+    return _copies(_counted(docs, seed, F.struct("*").alias("row")), plan, seed).select(*own, *new)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

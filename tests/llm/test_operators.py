@@ -251,6 +251,36 @@ def test_pipeline(spark):
     assert ids[4] == ids[3] and kept[4].where("text like '%[SECRET]%'").count() > 0
 
 
+def test_rows_without_or_with_one_id_keep_their_own_fate(spark):
+    item = " ".join(f"item{i}" for i in range(30))
+    rows = [(None, f"before {item} after", "a", 9), (None, "password = hunter22 and more", "a", 9), (None, "plain words", "b", 9),
+            (3, f"{item}", "a", 9), (4, "some other words here", "b", 9), (4, "some other words here", "b", 9)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string, n_chars long, epoch string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = decontaminate.without_leaks(docs, benchmark)
+    assert sorted(r.text for r in clean.collect()) == sorted(t for _, t, *_ in rows if item not in t)
+    found = neardup.near_duplicates(docs).collect()
+    assert all(r.kept and r.component_id is None for r in found if r.doc_id is None) and len(found) == 6
+    hidden = secrets.without_secrets(docs).where("text like '%[SECRET]%'").collect()
+    assert [(r.doc_id, r.text, r.n_chars) for r in hidden] == [(None, "[SECRET] and more", 17)]
+    drawn = mixing.draw(docs, budget=200).collect()   # both sources come whole at least once
+    assert sorted(r.text for r in drawn if r.epoch == 0) == sorted(t for _, t, *_ in rows)
+    assert all(r.epoch_before == "x" for r in drawn)
+
+
+def test_masks_agree_with_the_spans_found(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    masked = {r.doc_id: r.text for r in secrets.masked(docs, secrets.find_secrets(docs)).collect()}
+    assert {r.doc_id: r.text for r in secrets.without_secrets(docs).collect()} == masked
+
+
+def test_drawn_rows_are_those_of_the_mix(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    key = ["doc_id", "epoch", "part"]
+    assert mixing.draw(docs).select(*key).exceptAll(mixing.mix(docs).select(*key)).isEmpty()
+    assert mixing.draw(docs).count() == mixing.mix(docs).count()
+
+
 def test_pipeline_on_awkward_input(spark, awkward, empty):
     for docs in (awkward, empty):
         for _, stage in corpus_pipeline.STAGES:
