@@ -5,14 +5,14 @@ adds the drawing's columns. ``run`` writes every stage to the shared folder and
 lost executor costs a stage at most.
 
 Null and empty texts pass: they are not toxic, stand alone among duplicates, contain no passage or
-secret, and cost the mix nothing. Rows with one doc_id and equal text share their fate. Columns beyond
+secret, and cost the mix nothing. Rows without a doc_id go through every stage but stand alone among
+duplicates. Rows with one doc_id and equal text share their fate and do not multiply. Columns beyond
 those of ``documents`` are carried along.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from citystream.llm import decontaminate, mixing, neardup, secrets, toxicity
 from citystream.session import cut
@@ -34,19 +34,17 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a benchmark passage."""
-    found = cut(decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti")
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked."""
-    return secrets.masked(docs, secrets.find_secrets(docs))
+    return secrets.without_secrets(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every drawn copy of every document, with its epoch and its place in the order (part)."""
-    drawn = mixing.mix(docs).select(F.col("doc_id").alias("_id"), "weight", "epoch", "part")
-    return docs.join(drawn, F.col("doc_id").eqNullSafe(F.col("_id")), "inner").drop("_id")
+    return mixing.draw(docs)
 
 
 STAGES = [
