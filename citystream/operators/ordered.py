@@ -1,8 +1,10 @@
 """Looking at neighbouring rows of a key without gathering the key in one task.
 
-The time line is cut into slices, and window functions run per (keys, slice), so a key with a
-large share of all rows is spread over as many tasks as it has slices. Only the rows at slice
-edges, a fixed few per slice, are then looked at once more across slices.
+The rows, in order of key, time and ``seq``, are cut into slices of about equal row counts, and
+window functions run per (keys, slice), so a key with a large share of all rows is spread over
+as many tasks as its share asks for, whether its rows come evenly, in bursts or in one instant.
+Only the rows at slice edges, a fixed few per slice, are then looked at once more across slices;
+there are as many slices as shuffle partitions, and that bounds what one key can have there.
 """
 
 from __future__ import annotations
@@ -13,30 +15,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citystream.functions.times import epoch_ms, time_slice
+from citystream.session import cut
 
 SLICE_MS = 3_600_000
-ROWS_PER_SLICE = 5_000_000
 
 
-def fit_slice_ms(df: DataFrame, keys: Sequence[str], ts: str, rows: int = ROWS_PER_SLICE) -> int:
-    """A slice length at which no (keys, slice) has more than ``rows`` rows.
+def in_slices(df: DataFrame, keys: Sequence[str], ts: str, seq: str, slice_ms: int | None = None) -> DataFrame:
+    """Adds ``_slice``, which rises along the order of each key.
 
-    Counts per slice are reduced before the shuffle and only their maximum is fetched. Busy
-    keys or bursts shorten the slices, down to a millisecond.
+    Slices are ranges of equal row counts, written once so that every reader sees the same cuts.
+    Rows known to be evenly spaced can be cut by time instead (``slice_ms``), without that step.
     """
-    length = SLICE_MS
-    while length > 1:
-        counts = df.groupBy(*keys, time_slice(F.col(ts), length).alias("_slice")).count()
-        peak = counts.agg(F.max("count")).first()[0] or 0
-        if peak <= rows:
-            break
-        length = max(1, min(length // 2, length * rows // peak))
-    return length
-
-
-def _sliced(df: DataFrame, keys: Sequence[str], ts: str, slice_ms: int | None) -> DataFrame:
-    length = slice_ms or fit_slice_ms(df, keys, ts)
-    return df.withColumn("_slice", time_slice(F.col(ts), length))
+    if slice_ms:
+        return df.withColumn("_slice", time_slice(F.col(ts), slice_ms))
+    return cut(df.repartitionByRange(*keys, ts, seq).withColumn("_slice", F.spark_partition_id()))
 
 
 def _position(ts: str, seq: str) -> Column:
@@ -49,7 +41,7 @@ def trailing_values(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value
 
     Fewer than ``n`` entries while the key has not had that many rows. ``value`` must not be null.
     """
-    sliced = _sliced(df, keys, ts, slice_ms)
+    sliced = in_slices(df, keys, ts, seq, slice_ms)
     local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq)
     one = F.lit(1)
     marked = sliced.withColumns({
@@ -67,7 +59,7 @@ def trailing_values(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value
 def neighbour_positions(df: DataFrame, keys: Sequence[str], ts: str, seq: str, before: str, after: str,
                         slice_ms: int | None = None) -> DataFrame:
     """Adds ``before`` and ``after``: ``struct(ts, seq)`` of the key's adjacent rows, or NULL."""
-    sliced = _sliced(df, keys, ts, slice_ms)
+    sliced = in_slices(df, keys, ts, seq, slice_ms)
     here = _position(ts, seq)
     local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq)
     across = Window.partitionBy(*keys).orderBy(ts, seq)
@@ -87,7 +79,7 @@ def run_starts(df: DataFrame, keys: Sequence[str], ts: str, seq: str, previous:
     A row goes on with a run if ``previous`` (``struct(ts, seq)``) is the row of the key right
     before it; otherwise, or with NULL there, it begins a new one.
     """
-    sliced = _sliced(df, keys, ts, slice_ms)
+    sliced = in_slices(df, keys, ts, seq, slice_ms)
     here, ms = _position(ts, seq), epoch_ms(F.col(ts))
     local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq)
     inside = F.col("_before").isNotNull() & ~F.col("_before").eqNullSafe(F.col(previous))

@@ -14,7 +14,7 @@ from citystream.functions.geo import haversine_m, with_cell, with_cells_within
 from citystream.functions.times import epoch_ms
 from citystream.operators.cooldown import cooldown
 from citystream.operators.detect import BUNCHING_ALERT
-from citystream.operators.ordered import fit_slice_ms, neighbour_positions, run_starts
+from citystream.operators.ordered import neighbour_positions, run_starts
 from citystream.session import cut
 
 # Fixed values of the city's bunching rule.
@@ -22,10 +22,11 @@ NEAR_M = 200
 NEAR_FOR_MS = 300_000
 COOLDOWN_MS = 300_000
 
-# Lengths of the time buckets. A position that stays current for longer than one bucket goes
-# to the next coarser level, so it meets its reports in at most two buckets.
-BUCKETS_MS = [60_000, 3_600_000, 86_400_000, 31 * 86_400_000]
-ENDLESS = len(BUCKETS_MS)
+# Time buckets of level n last this long times 4 to the n. A position goes to the level that is at
+# most as long as it stays current, and at least a quarter of that: so it lies in five buckets or
+# fewer, which cover less than twice its time on average.
+BUCKET_MS = 100
+TOP_LEVEL = 15
 PAIR = ["route_id", "bus_1", "bus_2"]
 
 
@@ -36,25 +37,16 @@ def usable_positions(gps: DataFrame) -> DataFrame:
 
 
 def _level() -> Column:
-    """The finest level whose buckets are as long as the position stays current."""
-    level = F.lit(ENDLESS)
-    for i, length in reversed(list(enumerate(BUCKETS_MS))):
-        level = F.when(F.col("until") - F.col("ms") <= length, F.lit(i)).otherwise(level)
-    return level
+    stays = F.greatest(F.col("until") - F.col("ms"), F.lit(BUCKET_MS))
+    return F.least(F.floor(F.log2(stays / BUCKET_MS) / 2), F.lit(TOP_LEVEL)).cast("int")
 
 
 def _bucket(ms: Column, level: Column) -> Column:
-    number = F.lit(0).cast("bigint")
-    for i, length in enumerate(BUCKETS_MS):
-        number = F.when(level == i, F.floor(ms / length)).otherwise(number)
-    return number
+    return F.floor(ms / (F.pow(F.lit(4.0), level) * BUCKET_MS))
 
 
-def contacts(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None) -> DataFrame:
-    """One row per report and other vehicle of the route that was last seen closer than ``near_m``.
-
-    ``other_timestamp`` tells when that was. ``previous`` is the report that last changed the distance of this pair, or NULL at its first.
-    """
+def meetings(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None) -> DataFrame:
+    """Reports and last known positions of other vehicles that share route, time bucket and grid cell."""
     seen = neighbour_positions(
         usable_positions(gps).select("route_id", "bus_id", "lat", "lon", "timestamp", "event_time", "offset"),
         ["route_id", "bus_id"], "event_time", "offset", "before", "after", slice_ms)
@@ -64,7 +56,7 @@ def contacts(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None
     # A vehicle without a later report keeps its position up to the end of the data.
     last_ms = seen.agg(F.max("ms")).scalar()
     seen = seen.withColumn("until", F.coalesce(epoch_ms(F.col("after.ts")), last_ms)).withColumn("level", _level())
-    levels = [r.level for r in seen.select("level").distinct().collect()]  # ENDLESS + 1 values at most
+    levels = [r.level for r in seen.select("level").distinct().collect()]  # TOP_LEVEL + 1 values at most
     known = (
         seen.select("route_id", "level",
                     F.col("bus_id").alias("other_bus"), F.col("lat").alias("other_lat"),
@@ -78,9 +70,16 @@ def contacts(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None
         .withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
         .withColumn("bucket", _bucket(F.col("ms"), F.col("level"))))
 
-    met = reports.join(known, ["route_id", "level", "bucket", "band", "cell"]).where(
-        (F.col("bus_id") != F.col("other_bus"))
-        & (F.col("known_at") < F.col("here"))
+    return reports.join(known, ["route_id", "level", "bucket", "band", "cell"]).where(F.col("bus_id") != F.col("other_bus"))
+
+
+def contacts(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None) -> DataFrame:
+    """One row per report and other vehicle of the route that was last seen closer than ``near_m``.
+
+    ``other_timestamp`` tells when that was. ``previous`` is the report that last changed the distance of this pair, or NULL at its first.
+    """
+    met = meetings(gps, near_m, slice_ms).where(
+        (F.col("known_at") < F.col("here"))
         & (F.col("replaced_at").isNull() | (F.col("here") < F.col("replaced_at"))))
     far = haversine_m(F.col("lat"), F.col("lon"), F.col("other_lat"), F.col("other_lon"))
     return met.withColumn("distance_m", far).where(F.col("distance_m") < near_m).select(
@@ -112,12 +111,8 @@ def bunching_alert_columns(df: DataFrame, near_m: int = NEAR_M) -> DataFrame:
 
 def bus_bunching(gps: DataFrame, near_m: int = NEAR_M, near_for_ms: int = NEAR_FOR_MS,
                  cooldown_ms: int = COOLDOWN_MS, slice_ms: int | None = None) -> DataFrame:
-    # One slice length serves reports and pairs: a pair has at most the contacts that its two
-    # vehicles have reports.
-    usable = usable_positions(gps)
-    length = slice_ms or fit_slice_ms(usable, ["route_id", "bus_id"], "event_time")
-    met = cut(contacts(usable, near_m, length))
-    found = cut(near_runs(met, length).where(F.col("near_ms") >= near_for_ms).select(
+    met = contacts(gps, near_m, slice_ms)
+    found = cut(near_runs(cut(met) if slice_ms else met, slice_ms).where(F.col("near_ms") >= near_for_ms).select(
         *PAIR, "timestamp", "event_time", "offset", "distance_m", "near_ms"))
     kept = cooldown(found, PAIR, "event_time", "offset", cooldown_ms)
     return bunching_alert_columns(kept, near_m).select(*BUNCHING_ALERT, "event_time")

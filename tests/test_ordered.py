@@ -4,7 +4,7 @@ from helpers import T0, at, frame
 from pyspark.sql import functions as F
 
 from citystream.functions.times import epoch_ms
-from citystream.operators.ordered import fit_slice_ms, neighbour_positions, run_starts, trailing_values
+from citystream.operators.ordered import in_slices, neighbour_positions, run_starts, trailing_values
 
 SCHEMA = "k string, event_time timestamp, seq bigint, v int"
 
@@ -21,7 +21,7 @@ def data(spark):
     return frame(spark, rows, SCHEMA).cache(), per_key
 
 
-@pytest.mark.parametrize("slice_ms", [1, 1_000, 60_000, 10**9])
+@pytest.mark.parametrize("slice_ms", [1, 60_000, 10**9, None])
 @pytest.mark.parametrize("n", [1, 3])
 def test_trailing_values(data, slice_ms, n):
     df, per_key = data
@@ -32,7 +32,7 @@ def test_trailing_values(data, slice_ms, n):
     assert got == want
 
 
-@pytest.mark.parametrize("slice_ms", [1, 1_000, 60_000, 10**9])
+@pytest.mark.parametrize("slice_ms", [1, 60_000, 10**9, None])
 def test_neighbours(data, slice_ms):
     df, per_key = data
     found = neighbour_positions(df, ["k"], "event_time", "seq", "b", "a", slice_ms).select("seq", "b.seq", "a.seq")
@@ -42,7 +42,7 @@ def test_neighbours(data, slice_ms):
     assert got == want
 
 
-@pytest.mark.parametrize("slice_ms", [1, 1_000, 60_000, 10**9])
+@pytest.mark.parametrize("slice_ms", [1, 60_000, 10**9, None])
 def test_run_starts(spark, data, slice_ms):
     """Some links are missing and some point past a neighbour; both begin a new run."""
     _, per_key = data
@@ -64,13 +64,18 @@ def test_run_starts(spark, data, slice_ms):
     assert {r.seq: r.since for r in found.select("seq", (F.col("start") - base).alias("since")).collect()} == want
 
 
-def test_slices_shrink_for_busy_keys(data):
-    df, per_key = data
-    most = max(len(rows) for rows in per_key.values())
-    assert fit_slice_ms(df, ["k"], "event_time", most) == 3_600_000
-    length = fit_slice_ms(df, ["k"], "event_time", 20)
-    counts = df.groupBy("k", F.floor(epoch_ms(F.col("event_time")) / length)).count()
-    assert 1 < length < 3_600_000 and counts.agg(F.max("count")).first()[0] <= 20
+def test_slices_split_a_hot_key_by_rows(spark):
+    """One key owns nine tenths of the rows, half of them evenly spaced, half in one burst with ties."""
+    even, burst = [i * 1_000 for i in range(1_800)], [5_000_000 + i // 40 for i in range(1_800)]
+    rows = [("hot", at(t / 1000), i, 0) for i, t in enumerate(even + burst)]
+    rows += [(f"k{i % 9}", at(i), 10_000 + i, 0) for i in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sliced = in_slices(frame(spark, rows, SCHEMA).repartition(4), ["k"], "event_time", "seq")
+        counts = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(counts) == 4_000 and max(counts) < 2.5 * 4_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_epoch_ms_floors(spark):

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from helpers import at, frame
 
 from citystream import schemas
 from citystream.operators import advisory, decode, energy, enrich, proximity, quality
@@ -92,3 +93,12 @@ def test_hot_keys_are_spread_over_slices(spark):
     """No window or group of the rules over whole histories is keyed by device alone before reduction."""
     text = plan(QUERIES["aqi_emergency"](spark, SF))
     assert re.search(r"hashpartitioning\(sensor_id#\d+, _slice", text)
+
+
+@pytest.mark.parametrize("every_s", [1, 30, 120, 7_200])
+def test_few_pairs_beyond_contacts(spark, every_s):
+    """Whatever the reporting rate, reports meet at most three positions for one that counts."""
+    rows = [("R", f"b{b}", 12.97, 77.59, "", at(every_s * (i + b / 6)), 6 * i + b) for b in range(6) for i in range(120)]
+    gps = frame(spark, rows, "route_id string, bus_id string, lat double, lon double, timestamp string, "
+                             "event_time timestamp, offset bigint")
+    assert proximity.meetings(gps).count() <= 3 * proximity.contacts(gps).count()
