@@ -132,6 +132,41 @@ def test_sentence_spans(spark):
     assert sorted(map(tuple, queries.QUERIES["op4_sentence_spans"](spark, SF).collect())) == want
 
 
+def without_repeated_runs(rows):
+    """Per document: sentences, and those in a run of one to three with 12 words or more that came before; every run compared."""
+    seen, out = set(), {}
+    for d, text in sorted(rows):
+        lines = re.sub(r"([.!?])[ \t\r]+", r"\1\n", text).split("\n")
+        s = [x for x in (re.sub(r"[ \t\r\x0b\f]+", " ", x).strip(" ") for x in lines) if x]
+        gone = set()
+        for i, n in itertools.product(range(len(s)), (1, 2, 3)):
+            run = tuple(s[i:i + n])
+            if len(run) == n and sum(len(re.split(r"\s", x, flags=re.A)) for x in run) >= 12:
+                gone |= set(range(i, i + n)) if run in seen else set()
+                seen.add(run)
+        out[d] = (len(s), sorted(gone))
+    return out
+
+
+def test_repeated_runs_of_one_two_and_three_sentences(spark):
+    got = spans.without_repeats(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    assert {r.doc_id: (r.n_sentences, r.removed) for r in got} == without_repeated_runs(texts(spark))
+
+
+@pytest.mark.parametrize("sentences", [1, 2, 3])
+def test_passages_inside_other_paragraphs(spark, sentences):
+    """Repeated passages of 50 words or more; with ``joined`` their ends belong to sentences of the paragraph around them."""
+    each = 54 // sentences
+    passage = " ".join(" ".join(f"p{k}w{i}" for i in range(each)) + "." for k in range(sentences))
+    around = lambda n: " ".join(f"around{n}x{i}" for i in range(15))
+    docs = [(1, f"{around(1)}. {passage} {around(2)}."), (2, f"{around(3)}. {passage} {around(4)}."), (3, f"{around(5)}. {around(6)}.")]
+    docs += [(4, f"{around(7)} {passage[:-1]} {around(8)}.")]   # both ends joined: what lies whole between them is found
+    got = {r.doc_id: r for r in spans.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[1].removed == got[3].removed == []
+    assert got[2].removed == list(range(1, sentences + 1)) and got[2].kept_text == f"{around(3)}.\n{around(4)}."
+    assert got[4].removed == list(range(1, sentences - 1))
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op5_toxicity", "toxic", 0.8), ("op6_quality", "quality", 0.95)])
 def test_held_out_labels(spark, name, label, least):
     got = queries.QUERIES[name](spark, SF).where("held_out").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").toPandas()
