@@ -6,20 +6,22 @@ with random bits: step j copies the word under the pointer and moves on if a ran
 distance, so a sample of copied positions is often equal for them, and always for equal ones.
 
 Documents are cut into windows that start every ``stride`` words, of each length class that items
-need; items into the windows of their class at every word. Each of ``REPEATS`` walks gives a window
-one key of ``SAMPLED`` copied words. As every item has many windows and every passage many starts, a
-passage within ``TOLERANCE`` is found with high probability, and an unchanged one always. Every hit
-is then verified: the least word edit distance between the whole item and any run of the document
+need; items into the windows of their class at every word. Each walk gives a window one key of
+``SAMPLED`` copied words, and walks are repeated until the target ``recall`` is reached: how many an
+item length needs, and windows of what class, is measured on random items with as many words
+substituted, inserted or deleted at random places as ``TOLERANCE`` allows; the worst of the three
+counts. An unchanged passage is always found. Every hit is then verified: the least word edit distance between the whole item and any run of the document
 near the hit must be at most ``TOLERANCE`` of the item's words.
 
 Null and empty documents contain nothing; items without words are not looked for. Equal items are
-all reported, copies of documents each. Items of fewer words than ``2 * STRIDE`` make the stride
-shorter, down to single words. The benchmark goes through in blocks of ``ITEM_WORDS`` words.
+all reported, copies of documents each. Windows for items of fewer words than ``2 * STRIDE`` start
+at every word. The benchmark goes through in blocks of ``ITEM_WORDS`` words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,9 @@ from pyspark.sql import functions as F
 
 from citystream.llm.words import Splitter, mix, slices, text_bytes
 
-STRIDE, REPEATS, SAMPLED = 6, 4, 5
+STRIDE, SAMPLED = 2, 5
+RECALL, MOST, TRIALS = 0.99, 16, 400
+SLACK = 6   # words: how far a walk may shift a hit beyond its edits
 CLASSES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
 TOLERANCE = 0.15
 ITEM_WORDS = 2_000_000
@@ -81,21 +85,82 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(origin[end]), end
 
 
+def edited(words: np.ndarray, kind: int, random: np.random.Generator) -> np.ndarray:
+    """``words`` with as many random places substituted (0), inserted (1) or deleted (2) as ``TOLERANCE`` allows."""
+    n = len(words)
+    places = random.choice(n, int(n * TOLERANCE), replace=False)
+    new = random.integers(1, 1 << 62, len(places)).astype(np.uint64)
+    if kind == 0:
+        words = words.copy()
+        words[places] = new
+        return words
+    return np.insert(words, places, new) if kind == 1 else np.delete(words, places)
+
+
+@lru_cache(maxsize=None)
+def walks_needed(n: int, c: int, stride: int, recall: float) -> int | None:
+    """Walks after which windows of ``c`` words find items of ``n`` words, or None if ``MOST`` are too few.
+
+    Measured; the share missed must be half of what ``recall`` allows.
+    """
+    random = np.random.default_rng([23, n, c, stride])
+    most = 0
+    for kind in range(3):
+        items = [random.integers(1, 1 << 62, n).astype(np.uint64) for _ in range(TRIALS)]
+        texts = [np.concatenate([random.integers(1, 1 << 62, c + k % stride).astype(np.uint64), edited(w, kind, random),
+                                 random.integers(1, 1 << 62, 2 * c).astype(np.uint64)]) for k, w in enumerate(items)]
+        ends = np.cumsum([len(w) for w in texts])
+        starts = np.concatenate([np.arange(e - len(w), e - c, stride) for w, e in zip(texts, ends, strict=True)])
+        trial = np.searchsorted(ends, starts, "right")
+        places = (np.arange(n - c + 1) + n * np.arange(TRIALS)[:, None]).ravel()
+        texts, items, found, walks = np.concatenate(texts), np.concatenate(items), np.zeros(TRIALS, bool), 0
+        while TRIALS - np.count_nonzero(found) > (1 - recall) / 2 * TRIALS:
+            if walks == MOST:
+                return None
+            with np.errstate(over="ignore"):
+                sought = walk_keys(items, places, places + c, walks, [c])[c]
+                keys = walk_keys(texts, starts, starts + c, walks, [c])[c]
+            found[trial[np.isin(keys, sought)]] = True
+            walks += 1
+        most = max(most, walks)
+    return most
+
+
+def plan(n: int, recall: float) -> tuple[int, int, int]:
+    """Words in a window, the stride of documents' windows, and walks for items of ``n`` words.
+
+    More words with equally many edits, and more of both beyond the lengths measured, are found more
+    easily; so the shortest item with as many edits stands for all. Single words at every place need no second walk.
+    """
+    stride = min(STRIDE, max(1, n // 2))
+    fits = [c for c in CLASSES if c <= min(n - stride + 1, max(8, n // 8))]
+    edits = int(n * TOLERANCE)
+    if not edits:
+        return fits[-1], stride, 1
+    least = next(k for k in range(1, n + 1) if int(k * TOLERANCE) == min(edits, int(CLASSES[-1] * 8 * TOLERANCE)))
+    for c in reversed(fits):
+        walks = walks_needed(least, c, stride, recall) if c <= least - stride + 1 else None
+        if walks:
+            return c, stride, walks
+    return 1, 1, 1
+
+
 class Index:
-    """Keys of a block of items, and the words to verify against; built once per task."""
+    """Keys of a block of items, and the words to verify against; built once per task. ``plans`` has the plan of each item length."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], stride: int) -> None:
+    def __init__(self, items: list[tuple[int, np.ndarray]], plans: dict[int, tuple[int, int, int]]) -> None:
         self.ids = [i for i, _ in items]
         self.words = [w for _, w in items]
-        self.stride = min([stride, *(max(1, len(w) // 2) for w in self.words)])
-        fits = [max(c for c in CLASSES if c <= max(1, len(w) - self.stride + 1)) for w in self.words]
+        fits = [plans[len(w)][0] for w in self.words]
         self.classes = sorted(set(fits))
+        self.strides = {c: min(s for f, s, _ in plans.values() if f == c) for c in self.classes}
+        walks = {c: max(k for f, _, k in plans.values() if f == c) for c in self.classes}
         self.tables: list[dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = []
         every = np.concatenate(self.words)
         bounds = np.r_[0, np.cumsum([len(w) for w in self.words])]
-        for repeat in range(REPEATS):
+        for repeat in range(max(walks.values())):
             tables = {}
-            for c in self.classes:
+            for c in (c for c in self.classes if repeat < walks[c]):
                 own = [k for k, f in enumerate(fits) if f == c]
                 starts = np.concatenate([np.arange(bounds[k], bounds[k + 1] - c + 1) for k in own])
                 item = np.concatenate([np.full(max(0, len(self.words[k]) - c + 1), k) for k in own])
@@ -117,13 +182,18 @@ def _passages(index: Index, splitter: Splitter, texts: pa.Array, one_each: bool
     if not len(words):
         return
     doc = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    starts = np.flatnonzero((np.arange(len(words)) - rows[doc]) % index.stride == 0)
-    stops = rows[doc[starts] + 1]
+    place = np.arange(len(words)) - rows[doc]
+    starts_of = {s: np.flatnonzero(place % s == 0) for s in set(index.strides.values())}
+    stops_of = {s: rows[doc[starts] + 1] for s, starts in starts_of.items()}
     hits = []
     for repeat, tables in enumerate(index.tables):
-        with np.errstate(over="ignore"):
-            found = walk_keys(words, starts, stops, repeat, index.classes)
+        found = {}
+        for stride, starts in starts_of.items():
+            classes = [c for c in tables if index.strides[c] == stride]
+            with np.errstate(over="ignore"):
+                found |= walk_keys(words, starts, stops_of[stride], repeat, classes)
         for c, (keys, item, offset, present) in tables.items():
+            starts = starts_of[index.strides[c]]
             maybe = np.flatnonzero(present[(found[c] & np.uint64((1 << 20) - 1)).astype(np.int64)])
             low = np.searchsorted(keys, found[c][maybe], "left")
             count = np.searchsorted(keys, found[c][maybe], "right") - low
@@ -132,13 +202,15 @@ def _passages(index: Index, splitter: Splitter, texts: pa.Array, one_each: bool
     ended, done = {}, set()
     for item, begin in np.unique(np.concatenate(hits), axis=0).tolist():
         target = index.words[item]
-        n, slack = len(target), int(len(target) * TOLERANCE) + index.stride
+        n, slack = len(target), int(len(target) * TOLERANCE) + SLACK
         for row in {int(doc[min(max(at, 0), len(doc) - 1)]) for at in (begin, begin + n // 2)}:
             if row in done or begin + n // 2 < ended.get((item, row), -1):
                 continue  # the latter: inside a passage that is already found
             a, b = max(begin - slack, int(rows[row])), min(begin + n + slack, int(rows[row + 1]))
             if a >= b:
                 continue
+            if n - np.count_nonzero(np.isin(target, words[a:b])) > int(n * TOLERANCE):
+                continue  # every word of the item that is nowhere near costs an edit
             edits, first, last = edit_distance(target, words[a:b])
             if edits <= int(n * TOLERANCE):
                 ended[item, row] = a + last
@@ -147,9 +219,9 @@ def _passages(index: Index, splitter: Splitter, texts: pa.Array, one_each: bool
                 yield row, item, edits, a + first - int(rows[row]), a + last - int(rows[row])
 
 
-def _search(shared, stride: int):
+def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, splitter = Index(shared.value, stride), Splitter(letters_only=True)
+        index, splitter = Index(*shared.value), Splitter(letters_only=True)
         names = [c.split()[0] for c in FOUND.split(", ")]
         for part in slices(batches, "text"):
             ids = part.column("doc_id")
@@ -161,9 +233,9 @@ def _search(shared, stride: int):
     return run
 
 
-def _clean(shared, stride: int):
+def _clean(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, splitter = Index(shared.value, stride), Splitter(letters_only=True)
+        index, splitter = Index(*shared.value), Splitter(letters_only=True)
         for part in slices(batches, "text"):
             keep = np.ones(part.num_rows, bool)
             for row, *_ in _passages(index, splitter, part.column("text"), one_each=True):
@@ -181,38 +253,39 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["item_id", "words"])
 
 
-def _shared_items(benchmark: DataFrame, item_words: int) -> Iterator:
-    """The items with words, a broadcast per block of about ``item_words`` words beside its longest item."""
+def _shared_items(benchmark: DataFrame, item_words: int, recall: float) -> Iterator:
+    """The items with words and the plans of their lengths, a broadcast per block of about ``item_words`` words beside its longest item."""
     items = benchmark.select("item_id", "text").mapInArrow(_item_words, "item_id long, words array<long>").where(F.size("words") > 0)
     total = items.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = total // item_words + 1
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == block).orderBy("item_id").collect()
         if rows:
-            yield benchmark.sparkSession.sparkContext.broadcast(
-                [(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in rows])
+            yield benchmark.sparkSession.sparkContext.broadcast((
+                [(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in rows],
+                {n: plan(n, recall) for n in {len(r.words) for r in rows}}))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, item_words: int = ITEM_WORDS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, item_words: int = ITEM_WORDS, recall: float = RECALL) -> DataFrame:
     """A row per benchmark passage in a document: doc_id, item_id, edits, item_words, first_word, last_word.
 
     Word positions count from 0, the end is exclusive. Each block of items is one pass over the documents.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = docs.sparkSession.createDataFrame([], FOUND)
-    for shared in _shared_items(benchmark, item_words):
-        found = found.unionByName(texts.mapInArrow(_search(shared, STRIDE), FOUND))
+    for shared in _shared_items(benchmark, item_words, recall):
+        found = found.unionByName(texts.mapInArrow(_search(shared), FOUND))
     return found
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, item_words: int = ITEM_WORDS) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, item_words: int = ITEM_WORDS, recall: float = RECALL) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark passage.
 
     Decided where the text is: nothing is shuffled, and rows without an id or with a repeated one are
     each judged by their own text.
     """
-    for shared in _shared_items(benchmark, item_words):
-        docs = docs.mapInArrow(_clean(shared, STRIDE), docs.schema)
+    for shared in _shared_items(benchmark, item_words, recall):
+        docs = docs.mapInArrow(_clean(shared), docs.schema)
     return docs
 
 

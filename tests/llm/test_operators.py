@@ -118,6 +118,23 @@ def test_leaks_with_changed_words(spark):
     assert got <= {(i, i) for i, _ in items} and len(got) >= 57
 
 
+@pytest.mark.parametrize("kind", ["substituted", "inserted", "deleted"])
+def test_recall_at_the_full_tolerance(spark, kind):
+    """As many edits as are tolerated, at random places, in items of few words: 0.99 is the target, so 97 of 100 at least."""
+    rng = np.random.default_rng(4)
+    words = lambda n: [f"v{x}" for x in rng.integers(0, 100_000, n)]
+    lengths, items, docs = (7, 14, 20, 29, 36, 40), [], []
+    for i in range(100 * len(lengths)):
+        item = words(lengths[i % len(lengths)])
+        items.append((i, " ".join(item)))
+        for place in sorted(rng.choice(len(item), int(0.15 * len(item)), replace=False), reverse=True):
+            item[place:place + (kind != "inserted")] = [] if kind == "deleted" else ["changed"]
+        docs.append((i, " ".join([*words(60 + i % 7), *item, *words(40)])))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    hits = collections.Counter(lengths[r.item_id % len(lengths)] for r in found.collect() if r.doc_id == r.item_id)
+    assert all(hits[n] >= 97 for n in lengths), hits
+
+
 def test_edit_distance():
     f = lambda a, b: decontaminate.edit_distance(np.array(a), np.array(b))
     assert f([1, 2, 3], [9, 1, 2, 3, 9]) == (0, 1, 4)
