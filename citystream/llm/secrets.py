@@ -1,8 +1,9 @@
 """Secrets in texts: fixed shapes, and tokens that a battery of randomness tests tells from prose.
 
 The fixed shapes (``assign``, ``access``, ``hex``) are always reported. The battery looks at every
-other run of 20 or more characters of ``[A-Za-z0-9+/_=-]`` with a digit or both letter cases (a
-UUID or a path of words counts as such a run too). The run's encoding is the smallest of digits,
+other run of 20 or more characters of ``[A-Za-z0-9+/_-]``, with ``=`` at its end, that has a digit or both
+letter cases (a UUID or a path of words counts as such a run too). ``NAME=value`` is two runs, and of a run
+that a fixed shape touches the parts outside it are looked at. The run's encoding is the smallest of digits,
 hex, base32, base36, base64 that holds it; three statistics say how far the run is from random
 symbols of that encoding:
 
@@ -42,7 +43,7 @@ ACCESS_LEAST = 20
 HEX = r"[0-9a-f]{24,}"  # a maximal run of [0-9a-f] with 24 characters or more
 KINDS = ("assign", "access", "hex", "random")
 
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_-]{20,}=*"   # '=' only as padding: what stands before an inner one is a name
 ALPHABETS = {
     "digits": "0123456789",
     "hex": "0123456789abcdef",
@@ -129,7 +130,7 @@ SCAN = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 stri
 
 
 def tests_of(text: str, found: list[tuple[int, int, str]], run: re.Pattern) -> Iterator[tuple[int, int, str, int, float]]:
-    """The battery's runs clear of ``found`` (sorted): start, end, encoding, length class, p."""
+    """The battery's runs, without what ``found`` (sorted) covers: start, end, encoding, length class, p."""
     starts, ends = [], []
     for s, e, _ in found:
         if ends and s < ends[-1]:
@@ -139,10 +140,15 @@ def tests_of(text: str, found: list[tuple[int, int, str]], run: re.Pattern) -> I
             ends.append(e)
     for m in run.finditer(text):
         s, e = m.span()
-        k = bisect_left(starts, e) - 1  # the last span that starts before the run ends
-        tested = battery(m.group()) if k < 0 or ends[k] <= s else None
-        if tested:
-            yield s, e, tested[0], length_class(e - s), tested[1]
+        k = max(bisect_left(starts, s) - 1, 0)  # the last span that starts before the run, then all up to its end
+        while s < e:
+            stop = min(starts[k], e) if k < len(starts) else e
+            if stop - s >= LENGTHS[0]:
+                tested = battery(text[s:stop])
+                if tested:
+                    yield s, stop, tested[0], length_class(stop - s), tested[1]
+            s = max(s, ends[k]) if k < len(starts) else e
+            k += 1
 
 
 def bin_of(p: float) -> int:

@@ -246,6 +246,18 @@ def test_secrets(spark):
     assert masked.text.startswith("[SECRET]\", API_KEY") and masked.n_chars == len(masked.text)
 
 
+def test_keys_behind_a_name_and_beside_a_fixed_shape():
+    patterns = secrets.compiled()
+    key = "wJalrXUtnFEMI7K3MDENGbPxRfiCYEq8Zt2LsVhQ"
+    tested = lambda text: [text[s:e] for s, e, *_ in secrets.tests_of(text, secrets.spans_of(text, patterns), patterns["run"])]
+    for text in (f"AWS_SECRET_ACCESS_KEY={key}", f"AUTH={key}", f"--key={key}", f"https://a.example/?sig={key}&x=1", f"a=b=={key}"):
+        assert key in tested(text), text
+    assert tested(f"AUTH={key}==") == [key + "=="]
+    access = "AKIA" + "A1" * 10
+    assert tested(f"{key}-{access}-{key} {key}") == [key + "-", "-" + key, key]
+    assert tested(f"{access} {key}") == [key] and tested(access) == []
+
+
 def test_main_text(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in queries.QUERIES["op2_html"](spark, SF).collect():
