@@ -50,7 +50,7 @@ MAIN = frozenset("article body content entry main post story text page column pr
 
 MAIN_NAMES = frozenset("article content entry post story".split())   # sure enough to learn from
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^"]{0,4000}"|'[^']{0,4000}')*+)>"""
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:"[^"]*"|'[^']*')|=)*+)>"""
                  r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -100,9 +100,7 @@ class Page:
                 if stack[k][0] in stop:
                     return
 
-        for m in TAG.finditer(source):
-            if m.start() < last:
-                continue
+        while m := TAG.search(source, last):   # from where a script ended, whatever looks like a tag inside it
             add(source[last:m.start()])
             last = m.end()
             name = (m.group(2) or m.group(5) or "").lower()

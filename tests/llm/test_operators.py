@@ -274,6 +274,15 @@ def test_main_text_of_other_markup(spark):
     assert text("") == "" and text("just words") == "just words" and text("<<<>><p") is not None
 
 
+def test_long_attributes_and_scripts_are_no_text():
+    runs = lambda s: [text for _, text, _ in mainbody.Page(s).runs]
+    for quote in "\"'":
+        value = "<b>x</b> " * 600
+        assert runs(f"<div data-x={quote}{value}{quote}><p>One.</p></div>") == ["One."]
+    page = "<script>for(var i=0;i<n;i++){} // don't</script><p>It is Ann's house.</p><p>More</p>"
+    assert runs(page) == ["It is Ann's house.", "More"] and mainbody.Page(page).tags == ["html", "p", "p"]
+
+
 @pytest.mark.parametrize("run", [
     neardup.near_duplicates, suffixes.without_repeats, secrets.find_secrets, mixing.mix, spans.without_repeats,
     lambda d: toxicity.score(d, toxicity.Model()), lambda d: quality.score(d, quality.Model()),
