@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import decontaminate, mainbody, mixing, neardup, neighbours, quality, secrets, spans, suffixes, toxicity
+from citystream.llm import (decontaminate, exactdup, mainbody, merkle, mixing, neardup, neighbours, quality, secrets, spans, suffixes, toxicity,
+                            trie)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -19,5 +20,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8_mixing,
     "op9_neighbours": neighbours.op9_neighbours,
     "op10_secrets": secrets.op10_secrets,
+    "op11_prefix_trie": trie.op11_prefix_trie,
+    "op12_exact_duplicates": exactdup.op12_exact_duplicates,
+    "op13_manifest": merkle.op13_manifest,
+}
+ORACLES: dict[str, str] = {
+    "op4_sentence_spans": spans.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
+    "op12_exact_duplicates": exactdup.ORACLE,
+    "op13_manifest": merkle.ORACLE,
 }
-ORACLES: dict[str, str] = {"op4_sentence_spans": spans.ORACLE}
