@@ -13,8 +13,8 @@ from citystream.session import cut
 MOST_HOT, ALWAYS_COLD = 10_000, 100
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: Sequence[str], size: str, n: int) -> DataFrame:
-    """``rows`` with the columns of ``table`` for their key (not null, unique in ``table``; all keys of ``rows`` are there).
+def lookup(rows: DataFrame, table: DataFrame, key: Sequence[str], size: str, n: int, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``table`` for their key (not null, unique in ``table``); ``how``: inner or left.
 
     ``size`` says how many of the ``n`` rows have the key. Keys with more than n / MOST_HOT rows are MOST_HOT at
     most, whatever the data; they are broadcast and their rows stay where they are. The others are joined by a shuffle.
@@ -22,7 +22,7 @@ def lookup(rows: DataFrame, table: DataFrame, key: Sequence[str], size: str, n:
     hot = F.col(size) > max(n / MOST_HOT, ALWAYS_COLD)
     few = F.broadcast(table.where(hot))
     # with no row of a hot key, Spark finds the broadcast empty and both joins on it vanish
-    rest = rows.join(few.select(*key), list(key), "left_anti").join(table.where(~hot), list(key))
+    rest = rows.join(few.select(*key), list(key), "left_anti").join(table.where(~hot), list(key), how)
     return rows.join(few, list(key)).unionByName(rest)
 
 

@@ -12,9 +12,12 @@ goes once that is under ``MISS``. Survivors are confirmed on their full sets.
 
 Candidates come in two rounds, so that a bucket of n texts need not give n x n pairs. First every
 member is paired with two hubs of its bucket (the smallest id, and the smallest hash of an id, which
-is the same text in many buckets). Where a bucket still spans several components, its members of
-different components are compared block against block inside tasks: by signature, then by set;
-only links that join components leave a task, and they are confirmed like the others.
+is the same text in many buckets). Where a bucket still spans several components, its members of different
+components are compared inside tasks, in two steps: on signatures alone, in blocks of ``WIDE``, which returns no pairs but the
+members that have a partner in another component left; only these, few as a rule, get their sets and are compared
+again in blocks of ``SIDE``. Only links that join components leave a task, one for a text and a
+component, and they are confirmed like the others. The comparisons of a bucket of texts that are alike, but no links, remain the
+square of its size; what is shipped for them is a signature per member and block.
 
 Null and empty texts stand alone. Rows without a doc_id cannot be named by a component: they are linked with
 nothing, have no component_id and stay. Rows that repeat a doc_id should not occur; they would be one text.
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm.graph import components
+from citystream.llm.hot import lookup
 from citystream.llm.words import Splitter, mix, shingles, slices, text_bytes
 from citystream.session import cut
 
@@ -38,7 +42,7 @@ SIZE = 5
 HASHES, ROWS = 128, 4       # 32 bands: a pair at 0.75 is missed once in 190,000
 SHARE = 75                  # per cent
 BATCH, MISS = 16, 1e-6
-SIDE = 500                  # representatives per block of a bucket
+WIDE, SIDE = 4000, 500      # representatives per block of a bucket, with signatures and with sets
 
 SIGNED = "doc_id long, n_shingles long, hi long, lo long, signature binary"
 
@@ -124,51 +128,75 @@ def _prune(least: np.ndarray):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's set as sorted 32-bit hashes: two sets have at least as many in common as in truth."""
+    """Each text's set as sorted hashes."""
     splitter = Splitter()
     for part in slices(batches, "text"):
         _, _, hashes, rows = splitter.split(*text_bytes(part.column("text")))
         values, at = shingles(hashes, rows, SIZE)
-        own = [(np.unique(values[a:b]) >> np.uint64(32)).astype(np.uint32).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        own = [np.unique(values[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(own, pa.binary())], names=["rep", "hashes"])
 
 
-def _blocks(frame: pd.DataFrame, least: np.ndarray) -> pd.DataFrame:
-    """Links between two blocks of a bucket (or within one) that join different components.
-
-    Signatures rule pairs out first; what is left is counted on the sets. Of the pairs of a text with
-    one component, a single clear link is returned (two hashes above the threshold, so that equal
-    hashes of different runs cannot have made it), or else all that are not clear.
-    """
+def _halves(frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
+    """The two blocks of a group, and whether they are one."""
     i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-    left, right = frame[frame["block"] == i], frame[frame["block"] == j]
-    x = np.frombuffer(b"".join(left["signature"]), np.uint32).reshape(-1, HASHES)
-    y = np.frombuffer(b"".join(right["signature"]), np.uint32).reshape(-1, HASHES)
-    mine = [np.frombuffer(h, np.uint32) for h in left["hashes"]]
-    sizes = right["hashes"].str.len().to_numpy() // 4
-    universe, place = np.unique(np.frombuffer(b"".join(right["hashes"]), np.uint32), return_inverse=True)
+    return frame[frame["block"] == i], frame[frame["block"] == j], i == j
+
+
+def _signatures(block: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(-1, HASHES)
+
+
+def _partners(left: pd.DataFrame, right: pd.DataFrame, same: bool, least: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Positions on the right, in other components, that no batch of hashes rules out, for each position on the left that has some."""
+    x, y = _signatures(left), np.ascontiguousarray(_signatures(right).T)
+    own, theirs, rep, other = (d[c].to_numpy() for c in ("component", "rep") for d in (left, right))
+    for k in range(len(x)):
+        equal = np.count_nonzero(y[:BATCH] == x[k, :BATCH, None], axis=0)
+        at = np.flatnonzero((equal >= least[0]) & (theirs != own[k]) & ((other > rep[k]) if same else True))
+        equal = equal[at]
+        for step in range(1, len(least)):
+            if not len(at):
+                break
+            part = slice(step * BATCH, (step + 1) * BATCH)
+            equal += np.count_nonzero(y[part, at] == x[k, part, None], axis=0)
+            keep = equal >= least[step]
+            at, equal = at[keep], equal[keep]
+        if len(at):
+            yield k, at
+
+
+def _near(frame: pd.DataFrame, least: np.ndarray) -> pd.DataFrame:
+    """The members of two blocks of a bucket (or of one) with a partner left in another component."""
+    left, right, same = _halves(frame)
+    found: set[int] = set()
+    for k, at in _partners(left, right, same, least):
+        found.add(int(left["rep"].iloc[k]))
+        found.update(right["rep"].to_numpy()[at].tolist())
+    return pd.DataFrame({"bucket": np.full(len(found), frame["bucket"].iloc[0], np.int64), "rep": np.array(sorted(found), np.int64)})
+
+
+def _blocks(frame: pd.DataFrame, least: np.ndarray) -> pd.DataFrame:
+    """Links between two blocks of a bucket (or within one) that join different components, one for a text and a component."""
+    left, right, same = _halves(frame)
+    mine = [np.frombuffer(h, np.uint64) for h in left["hashes"]]
+    sizes = right["hashes"].str.len().to_numpy() // 8
+    universe, place = np.unique(np.frombuffer(b"".join(right["hashes"]), np.uint64), return_inverse=True)
     bounds = np.r_[0, np.cumsum(sizes)]
-    rep, other = left["rep"].to_numpy(), right["rep"].to_numpy()
-    own, theirs = left["component"].to_numpy(), right["component"].to_numpy()
+    rep, other, theirs = left["rep"].to_numpy(), right["rep"].to_numpy(), right["component"].to_numpy()
     out = []
-    for k in range(len(x)):
-        at = np.flatnonzero((theirs != own[k]) & ((other > rep[k]) if i == j else True))
-        at = at[_survive(np.broadcast_to(x[k], (len(at), HASHES)), y[at], least)]
-        if not len(at):
-            continue
+    for k, at in _partners(left, right, same, least):
         present = np.zeros(len(universe), bool)
         where = np.minimum(np.searchsorted(universe, mine[k]), len(universe) - 1)
         present[where[universe[where] == mine[k]]] = True
-        common = np.array([present[place[bounds[t]:bounds[t + 1]]].sum() for t in at])
-        united = len(mine[k]) + sizes[at]
-        linked = lambda c: 100 * c >= SHARE * (united - c)
-        sure, unsure = linked(common - 2), linked(common)
         done = set()
-        for t in at[sure]:
-            if theirs[t] not in done:
+        for t in at:
+            if theirs[t] in done:
+                continue
+            common = present[place[bounds[t]:bounds[t + 1]]].sum()
+            if 100 * common >= SHARE * (len(mine[k]) + sizes[t] - common):
                 done.add(theirs[t])
                 out.append((rep[k], other[t]))
-        out += [(rep[k], other[t]) for t in at[unsure & ~sure] if theirs[t] not in done]
     pairs = np.array(out, np.int64).reshape(-1, 2)
     return pd.DataFrame({"a": pairs.min(1, initial=2**62), "b": pairs.max(1, initial=-1)})
 
@@ -201,6 +229,15 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                .join(_named(texts, "doc_id", "text", ("b", "tb")), "b").mapInArrow(_confirm, "a long, b long"))
 
 
+def _grouped(placed: DataFrame, side: int) -> DataFrame:
+    """The members of buckets with several components, once for each pair of blocks (i, j) that theirs is one of."""
+    mixed = (placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+             .where("low <> high").select("bucket", F.ceil(F.col("n") / side).cast("int").alias("blocks")))
+    return (placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("bucket", "rep", "component", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, n_shingles, component_id, kept."""
     texts, least = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), least_equal()
@@ -208,7 +245,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shape = ["hi", "lo", "n_shingles"]
     classes = (signed.where("n_shingles > 0 and doc_id is not null").groupBy(*shape)
                .agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")))
-    copies = signed.select("doc_id", *shape).join(classes.where("size > 1").drop("size"), shape, "left")
+    copies = lookup(signed.select("doc_id", *shape), classes.where("size > 1"), shape, "size", signed.count(), "left")
     members = cut(copies.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")))
     reps = cut(signed.where("n_shingles > 0").select(F.col("doc_id").alias("rep"), "signature")
                .join(members.where("rep = doc_id").select("rep"), "rep", "left_semi"))
@@ -228,19 +265,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     placed = (busy.select("bucket", "rep").join(_named(grouped, "node", "component", ("rep", "component")), "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")))
-    mixed = (placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                          F.count("*").alias("n")).where("low <> high")
-             .select("bucket", F.ceil(F.col("n") / SIDE).cast("int").alias("blocks")))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    sided = cut(placed.join(mixed, "bucket").withColumn("block", block))
-    if not sided.isEmpty():
-        sets = texts.join(sided.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
+    wide = _grouped(cut(placed), WIDE)
+    near = cut(wide.join(reps, "rep").groupBy("bucket", "i", "j").applyInPandas(lambda frame: _near(frame, least), "bucket long, rep long")
+               .distinct())
+    if not near.isEmpty():
+        sets = texts.join(near.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
             _sets, "rep long, hashes binary")
-        spread = (sided.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                  .select("bucket", "rep", "component", "block", F.least("block", "with").alias("i"),
-                          F.greatest("block", "with").alias("j")).distinct()
-                  .join(reps, "rep").join(sets, "rep"))
-        rest = (spread.groupBy("bucket", "i", "j").applyInPandas(lambda frame: _blocks(frame, least), "a long, b long").distinct())
+        fine = _grouped(cut(placed.join(near, ["bucket", "rep"], "left_semi")), SIDE).join(reps.join(sets, "rep"), "rep")
+        rest = fine.groupBy("bucket", "i", "j").applyInPandas(lambda frame: _blocks(frame, least), "a long, b long").distinct()
         links = links.union(_verified(cut(rest), texts))
         grouped = components(links)
     return (members.join(_named(grouped, "node", "component", ("rep", "component")), "rep", "left")
