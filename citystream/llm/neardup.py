@@ -78,19 +78,23 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([s.tobytes() for s in signature], pa.binary())], names=["doc_id", "n_shingles", "hi", "lo", "signature"])
 
 
+def _keys(signatures: np.ndarray) -> np.ndarray:
+    """The bucket of every band of every signature."""
+    bands = signatures.reshape(len(signatures), HASHES // ROWS, ROWS).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        key = np.broadcast_to(mix(np.arange(1, HASHES // ROWS + 1, dtype=np.uint64)), bands.shape[:2])
+        for r in range(ROWS):
+            key = mix(key ^ (bands[:, :, r] + np.uint64(r << 40)))
+    return key.view(np.int64)
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
-        bands = signatures.reshape(len(signatures), HASHES // ROWS, ROWS).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            key = np.broadcast_to(mix(np.arange(1, HASHES // ROWS + 1, dtype=np.uint64)), bands.shape[:2])
-            for r in range(ROWS):
-                key = mix(key ^ (bands[:, :, r] + np.uint64(r << 40)))
+        key = _keys(np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES))
         yield pa.RecordBatch.from_arrays([
-            pa.array(key.ravel().view(np.int64)),
-            pa.array(np.repeat(batch.column("rep").to_numpy(), HASHES // ROWS))], names=["bucket", "rep"])
+            pa.array(key.ravel()), pa.array(np.repeat(batch.column("rep").to_numpy(), HASHES // ROWS))], names=["bucket", "rep"])
 
 
 def least_equal(share: float = SHARE / 100, miss: float = MISS) -> np.ndarray:
@@ -148,8 +152,12 @@ def _signatures(block: pd.DataFrame) -> np.ndarray:
 
 
 def _partners(left: pd.DataFrame, right: pd.DataFrame, same: bool, least: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Positions on the right, in other components, that no batch of hashes rules out, for each position on the left that has some."""
+    """Positions on the right, in other components, that no batch of hashes rules out, for each position on the left that has some.
+
+    A pair with several bands in common is a pair of the bucket of the first.
+    """
     x, y = _signatures(left), np.ascontiguousarray(_signatures(right).T)
+    band = int(np.argmax(_keys(x[:1])[0] == left["bucket"].iloc[0])) if len(x) else 0
     own, theirs, rep, other = (d[c].to_numpy() for c in ("component", "rep") for d in (left, right))
     for k in range(len(x)):
         equal = np.count_nonzero(y[:BATCH] == x[k, :BATCH, None], axis=0)
@@ -162,6 +170,9 @@ def _partners(left: pd.DataFrame, right: pd.DataFrame, same: bool, least: np.nda
             equal += np.count_nonzero(y[part, at] == x[k, part, None], axis=0)
             keep = equal >= least[step]
             at, equal = at[keep], equal[keep]
+        if len(at):
+            same_band = (y[:, at] == x[k, :, None]).reshape(HASHES // ROWS, ROWS, -1).all(1)
+            at = at[same_band.argmax(0) == band]
         if len(at):
             yield k, at
 

@@ -23,18 +23,22 @@ def test_a_large_bucket_of_texts_that_are_no_copies(spark):
 
 
 def test_partners_are_those_of_all_comparisons():
-    """Block comparisons against one pair at a time: a pair stays if no batch rules it out."""
+    """Block comparisons against one pair at a time: a pair stays if no batch rules it out and no earlier band is its own."""
     import pandas as pd
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 30, neardup.HASHES).astype(np.uint32)
     signs = [np.where(rng.random(neardup.HASHES) < share, base, rng.integers(0, 1 << 30, neardup.HASHES)).astype(np.uint32)
              for share in rng.uniform(0.5, 1, 60)]
-    frame = pd.DataFrame({"rep": np.arange(60), "component": np.arange(60) % 7, "signature": [s.tobytes() for s in signs]})
+    for s in signs:     # all share the second band, some the first one, too
+        s[4:8] = base[4:8]
+        s[:4] = base[:4] if rng.random() < 0.4 else rng.integers(0, 1 << 30, 4)
+    bucket = neardup._keys(signs[0][None])[0][1]
+    frame = pd.DataFrame({"bucket": bucket, "rep": np.arange(60), "component": np.arange(60) % 7, "signature": [s.tobytes() for s in signs]})
     least = neardup.least_equal()
 
     def stays(a, b):
         equal = np.cumsum((signs[a] == signs[b]).reshape(-1, neardup.BATCH).sum(1))
-        return bool((equal >= least).all())
+        return bool((equal >= least).all()) and not (signs[a][:4] == signs[b][:4]).all()
 
     for left, right, same in ((frame, frame, True), (frame[:25], frame[25:], False)):
         got = {(int(left["rep"].iloc[k]), int(right["rep"].iloc[t])) for k, at in neardup._partners(left, right, same, least) for t in at}
