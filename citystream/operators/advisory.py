@@ -64,19 +64,31 @@ def _case(table: list[tuple[int | None, str]]) -> str:
     return f"case {branches} else '{table[-1][1]}' end"
 
 
+_USABLE = "zone is not null and aqi between 0 and 500"
+_SLIDING = f"""
+    select zone, window.start as window_start, window.end as window_end,
+           avg(aqi) as rolling_avg_aqi, avg(pm25) as rolling_avg_pm25, avg(pm10) as rolling_avg_pm10
+    from {{air_view}} where {_USABLE} group by zone, window(event_time, '{WIDTH}', '{SLIDE}')"""
+_PANES = f"""
+    with panes as (
+      select zone, window.start as pane, sum(aqi) as aqi, count(aqi) as aqi_n, sum(pm25) as pm25, count(pm25) as pm25_n,
+             sum(pm10) as pm10, count(pm10) as pm10_n
+      from {{air_view}} where {_USABLE} group by zone, window(event_time, '{SLIDE}')),
+    spread as (select *, explode(sequence(pane - interval {WIDTH} + interval {SLIDE}, pane, interval {SLIDE})) as window_start from panes)
+    select zone, window_start, window_start + interval {WIDTH} as window_end, sum(aqi) / nullif(sum(aqi_n), 0) as rolling_avg_aqi,
+           sum(pm25) / nullif(sum(pm25_n), 0) as rolling_avg_pm25, sum(pm10) / nullif(sum(pm10_n), 0) as rolling_avg_pm10
+    from spread group by zone, window_start"""
+
+
 def advisories_sql(spark: SparkSession, air_view: str = "aqi_stream", zone_view: str = "zone_profile",
                    rolling_view: str = "rolling_aqi") -> DataFrame:
     """The advisory as SQL over named views, for a table or a watermarked stream.
 
-    ``air_view`` holds decoded readings; the rolling means are left behind as ``rolling_view``.
+    ``air_view`` holds decoded readings; the rolling means are left behind as ``rolling_view``. Over a table they come from
+    one-slide panes, so that readings are reduced before anything is repeated; a stream keeps its ten windows.
     """
-    spark.sql(f"""
-        select zone, window.start as window_start, window.end as window_end,
-               avg(aqi) as rolling_avg_aqi, avg(pm25) as rolling_avg_pm25, avg(pm10) as rolling_avg_pm10
-        from {air_view}
-        where zone is not null and aqi between 0 and 500
-        group by zone, window(event_time, '{WIDTH}', '{SLIDE}')
-    """).createOrReplaceTempView(rolling_view)
+    spark.sql(_SLIDING.format(air_view=air_view) if spark.table(air_view).isStreaming else _PANES.format(air_view=air_view)
+              ).createOrReplaceTempView(rolling_view)
     return spark.sql(f"""
         select r.zone, zone_name, population, num_schools, num_hospitals, window_start, window_end,
                rolling_avg_aqi, rolling_avg_pm25, rolling_avg_pm10,

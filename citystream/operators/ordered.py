@@ -100,3 +100,18 @@ def run_starts(df: DataFrame, keys: Sequence[str], ts: str, seq: str, previous:
         .select(*keys, "_slice", F.greatest("_head", "_earlier").alias("_carry")))
     return (marked.join(carried, [*keys, "_slice"]).withColumn(out, F.greatest("_local", "_carry"))
             .drop("_slice", "_before", "_start", "_local", "_carry"))
+
+
+def running_max(df: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+    """Adds ``out``: the greatest ``value`` of all rows before this one in ``order``, NULL at the first.
+
+    One order over all rows: they are cut into ranges of equal row counts, and only one number per range goes on to the
+    next ranges. ``order`` should have no ties.
+    """
+    sliced = cut(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
+    before = (Window.unboundedPreceding, -1)
+    local = Window.partitionBy("_slice").orderBy(*order).rowsBetween(*before)
+    tops = sliced.groupBy("_slice").agg(F.max(value).alias("_top"))     # a row per range, which are as many as shuffle partitions
+    carried = tops.select("_slice", F.max("_top").over(Window.orderBy("_slice").rowsBetween(*before)).alias("_carried"))
+    return (sliced.withColumn("_local", F.max(value).over(local)).join(F.broadcast(carried), "_slice", "left")
+            .withColumn(out, F.greatest("_local", "_carried")).drop("_slice", "_local", "_carried"))

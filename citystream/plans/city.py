@@ -102,3 +102,16 @@ VIEWS = {
     "bus_gps": bus_gps,
     "smart_meters": smart_meters,
 }
+
+# What some producers send instead of a whole record: SQL expressions over a record's ``value`` and ``offset``.
+_BROKEN = "when offset % 37 = 5 then concat('not json ', offset) when offset % 41 = 9 then '[1, 2]' "
+ROUGH = {
+    "traffic_signals": f"case {_BROKEN} when offset % 17 = 3 then regexp_replace(value, '\"junction_id\":\"[^\"]*\",', '') "
+                       "when offset % 19 = 4 then regexp_replace(value, '\"avg_wait_sec\":[^,]*,', '\"avg_wait_sec\":null,') "
+                       "when offset % 29 = 11 then regexp_replace(value, '\"timestamp\":\"[^\"]*\"', '\"timestamp\":\"soon\"') else value end",
+    "smart_meters": f"case {_BROKEN} when offset % 17 = 3 then regexp_replace(value, '\"ward_id\":\"[^\"]*\",', '') "
+                    "when offset % 19 = 4 then regexp_replace(value, '\"kwh_consumed\":[^,]*,', '\"kwh_consumed\":\"much\",') "
+                    "when offset % 29 = 11 then regexp_replace(value, 'Z\"', '+00:00\"') else value end",
+    "air_quality": f"case {_BROKEN} else value end",
+    "bus_gps": f"case {_BROKEN} else value end",
+}

@@ -144,6 +144,27 @@ def _enriched(table: str) -> str:
 from gps left join {table} using (route_id)"""
 
 
+# Records out of order: tenths of a second of delay, and what came later than a bound behind the newest before it.
+_DELAY = ("(event_id * 7919) % 89 + case when event_id % 211 = 7 then 6000 else 0 end "
+          "+ case when event_id % 509 = 11 then 30000 else 0 end")
+
+
+def _split(view: str, seconds: int) -> tuple[str, str]:
+    return (f"""{view}_judged as (
+  select *, coalesce(event_time < max(event_time) over (order by event_id * 10 + {_DELAY}, event_id
+    rows between unbounded preceding and 1 preceding) - interval '{seconds} seconds', false) as late from {view})""",
+            f"{view}_on_time as (select * from {view}_judged where not late)")
+
+
+def _on_time(views: str, view: str, seconds: int, select: str, *ctes: str) -> str:
+    return _with(views, select, *_split(view, seconds), *[c.replace(f"from {view}", f"from {view}_on_time") for c in ctes], recursive=True)
+
+
+def _late(view: str, topic: str, subject: str, seconds: int) -> str:
+    return _with(view, f"""select 'LATE_EVENT' as error_reason, '{topic}' as source_topic, cast(user_id % {{}} as integer) as partition, "offset",
+  {subject} as subject from {view}_judged where late""".format({"air": 3, "meters": 8}[view]), _split(view, seconds)[0])
+
+
 # -- incidents -----------------------------------------------------------------------------
 
 
@@ -219,6 +240,39 @@ def _retained(view: str, days: int, extra: str = "", where: str = "true") -> str
 where {where} and ts >= (select max(ts) from {view} where {where}) - interval '{days} days'""")
 
 
+def _lags(lane: str, batches: int) -> str:
+    return f"""select '{lane}' as lane, cast(batch as integer) as batch, n_rows, cast((select count(*) from base) - sum(n_rows) over (order by batch) as bigint) as behind
+from (select event_id * 10 * {batches} // ((select max(event_id) from base) * 10 + 1) as batch, count(*) as n_rows from base group by 1)"""
+
+
+def _incident(kind: str, subject: str, body: str, source: str) -> str:
+    return f"select alert_type, {subject} as subject, event_timestamp, {body} as value from ({source}) as {kind}"
+
+
+_AQI_JSON = _json(_text("alert_type"), _text("sensor_id"), _text("zone"), *map(_number, ("aqi", "pm25", "pm10", "no2")),
+                  _text("event_timestamp"), _text("severity"))
+_GRID_JSON = _json(_text("alert_type"), _text("junction_id"), _text("zone"), "'\"consecutive_readings_sec\":[' || consecutive_readings_sec || ']'",
+                   *map(_number, ("consecutive_cycles", "min_wait_sec", "max_wait_sec", "threshold_sec")), _text("event_timestamp"))
+_BUNCH_JSON = _json(*map(_text, ("alert_type", "route_id", "bus_1", "bus_2")), *map(_number, ("distance_m", "duration_min", "threshold_m")),
+                    _text("event_timestamp"))
+_ROUGH_SIGNALS = """rough as (
+  select * exclude (junction_id, zone, avg_wait_sec, timestamp),
+    case when bad then 'unknown' when event_id % 17 = 3 then 'unknown' else junction_id end as junction_id,
+    case when bad then 'Unknown' else zone end as zone,
+    case when bad then null when event_id % 17 <> 3 and event_id % 19 = 4 then null else avg_wait_sec end as avg_wait_sec,
+    case when event_id % 17 <> 3 and event_id % 19 <> 4 and event_id % 29 = 11 then 'soon' else timestamp end as timestamp
+  from (select *, event_id % 37 = 5 or event_id % 41 = 9 as bad from signals)),
+waits as (select * from rough where avg_wait_sec is not null)"""
+_ROUGH_METERS = """kept_meters as (
+  select * from meters where not (event_id % 37 = 5 or event_id % 41 = 9 or event_id % 17 = 3 or event_id % 19 = 4 or event_id % 29 = 11))"""
+
+
+def _rough_letters(view: str, topic: str, reason: str) -> str:
+    return f"""select case when event_id % 37 = 5 or event_id % 41 = 9 then 'MALFORMED_JSON' else {reason} end as error_reason,
+  '{topic}' as source_topic, cast(partition as varchar) as partition, cast("offset" as varchar) as "offset",
+  case when event_id % 37 = 5 then 'not json ' || event_id when event_id % 41 = 9 then '1' else timestamp end as event from {view}"""
+
+
 ORACLES: dict[str, str] = {
     "ward_energy": _with("meters", "select * from ward", _WARD),
     "ward_energy_lake": _with("meters", _LAKE, _WARD),
@@ -266,11 +320,27 @@ qualify row_number() over (partition by route_id, bus_id order by event_time des
   round(distance_m, 2) as distance_m from apart where distance_m < 200""", *_PAIR_CTES),
     "bus_bunching": _BUNCH,
     "bus_bunching_stream": _BUNCH,
-    "incidents": _with("air signals gps", f"""
-select alert_type, sensor_id as subject, event_timestamp from ({_AQI_SELECT})
-union all select alert_type, junction_id, event_timestamp from ({_GRID_SELECT})
-union all select alert_type, route_id || '_' || bus_1 || '_' || bus_2, event_timestamp from ({_BUNCH_SELECT})""",
+    "incidents": _with("air signals gps", "\nunion all ".join((
+        _incident("a", "sensor_id", _AQI_JSON, _AQI_SELECT), _incident("g", "junction_id", _GRID_JSON, _GRID_SELECT),
+        _incident("b", "route_id || '_' || bus_1 || '_' || bus_2", _BUNCH_JSON, _BUNCH_SELECT))),
                        *_AQI_CTES, *_GRID_CTES, *_BUNCH_CTES, recursive=True),
+    "aqi_emergency_reordered_stream": _on_time("air", "air", 10, _AQI_SELECT, *_AQI_CTES),
+    "gridlock_reordered_stream": _on_time("signals", "signals", 10, _GRID_SELECT, *_GRID_CTES),
+    "bus_bunching_reordered_stream": _on_time("gps", "gps", 30, _BUNCH_SELECT, *_BUNCH_CTES),
+    "bus_bunching_split_stream": _BUNCH,
+    "late_air_rows_stream": _late("air", "air_quality", "sensor_id", 10),
+    "late_meter_rows_stream": _late("meters", "smart_meters", "ward_id", 2700),
+    "gridlock_rough": _with("signals", _GRID_SELECT, _ROUGH_SIGNALS, *[c.replace("from signals", "from waits") for c in _GRID_CTES], recursive=True),
+    "ward_energy_rough": _with("meters", "select * from ward", _ROUGH_METERS, _WARD.replace("from meters", "from kept_meters")),
+    "ward_energy_records": _with("meters", f"""select ward_id as key, {_json(
+        _text("ward_id"), *[f"""'"{c}":"' || strftime({c}, '%Y-%m-%dT%H:%M:%S.000Z') || '"'""" for c in ("window_start", "window_end")],
+        *map(_number, ("total_kwh_consumed", "avg_power_factor", "peak_voltage")))} as value from ward""", _WARD),
+    "route_schedule_csv": _with("changes", "select * from latest", _LATEST_CHANGES),
+    "route_changelog_records": _with("changes", f"""select route_id as key, {_json(*map(_text, (
+        "route_id", "route_name", "terminal", "scheduled_arrival_time")))} as value, 'route_schedule' as topic from latest""", _LATEST_CHANGES),
+    "dlq_records": _with("air gps", f"""select * from ({_rough_letters("air", "air_quality", _AIR_REASON)}
+union all {_rough_letters("gps", "bus_gps", _GPS_REASON)}) where error_reason is not null"""),
+    "signal_lanes_lag": _with("", f"{_lags('HIGH_PRIORITY', 1)} union all {_lags('STANDARD_PRIORITY', 4)}"),
     "signal_feed_high": _feed("HIGH_PRIORITY"),
     "signal_feed_standard": _feed("STANDARD_PRIORITY"),
     "signal_lane_high_stream": _feed("HIGH_PRIORITY"),

@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 
 from citystream import schemas
 from citystream.functions import times
-from citystream.operators import advisory, detect, energy, enrich, feed, proximity, quality, retention
+from citystream.operators import advisory, decode, detect, energy, enrich, feed, proximity, quality, retention
 from citystream.operators.decode import usable_air_readings, usable_meter_readings
 from citystream.operators.latest import latest_by_key
 from citystream.session import cut, scratch
-from citystream.plans import city
+from citystream.plans import city, replay
 from citystream.sources import streams, tables
-from citystream.streaming import jobs, lanes, sinks
+from citystream.sources.snapshot import ChangelogSnapshot
+from citystream.streaming import bunching, jobs, lanes, reorder, sinks
 
 NOW = {"availableNow": True}
 AVG_DP = 9
 POSITION = ["offset", "bus_id", "route_id", "lat", "lon", "speed_kmh", "occupancy_pct", "event_time"]
-KEY_OF = {"bus_gps": "route_id"}
+KEY_OF = replay.KEY_OF
 
 
 def _view(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +100,53 @@ def _replay(rows: DataFrame, mode: str = "append", **how) -> DataFrame:
     with sinks.state_partitions(spark, spark.sparkContext.defaultParallelism):
         query = sinks.to_table(rows, f"{path}/table", f"{path}/checkpoint", mode, NOW, **how)
     sinks.await_all(query)
-    return sinks.read_table(spark, f"{path}/table")
+    return sinks.read_table(spark, f"{path}/table", None if how else rows.schema)
+
+
+def ward_energy_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ward summaries as the keyed JSON records of the outgoing topic."""
+    df = _rounded(_rounded(_summary(spark, sf_dir), AVG_DP, "avg_power_factor"), 3, "total_kwh_consumed")
+    return energy.summary_records(df.withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")}))
+
+
+def route_schedule_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A timetable kept as CSV: the first and the last version of every route, of which the last line counts."""
+    changes = city.schedule_changes(city.events(spark, sf_dir)).select("route_id", *enrich.ADDED, "offset")
+    newest = enrich.current_schedule(changes)
+    oldest = latest_by_key(changes.withColumn("_back", -F.col("offset")), ["route_id"], ["_back"], unique=True).select(*newest.columns)
+    path = scratch(spark, "timetable")
+    # a small reference table: two lines a route, in one file, where the order of lines has a meaning
+    (oldest.withColumn("line", F.lit(0)).unionByName(newest.withColumn("line", F.lit(1))).coalesce(1).sortWithinPartitions("line")
+     .select("route_id", *enrich.ADDED).write.option("header", "true").csv(path))
+    return tables.route_schedule(spark, path)
+
+
+def route_changelog_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current timetable as keyed records for its changelog topic."""
+    return tables.changelog(route_schedule_latest(spark, sf_dir), "route_id", "route_schedule")
+
+
+def _rough(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """The topic's records with missing fields, nulls, unreadable times and malformed text among them."""
+    raw = streams.as_envelope(_view(topic, spark, sf_dir), topic, schemas.BY_TOPIC[topic].fieldNames(), key=KEY_OF.get(topic))
+    return raw.withColumn("value", F.expr(city.ROUGH[topic]))
+
+
+def gridlock_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gridlock_result(detect.gridlocks(decode.detector_input(_rough(spark, sf_dir, "traffic_signals"), "traffic_signals")))
+
+
+def ward_energy_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ward_result(energy.ward_summary(decode.smart_meters(_rough(spark, sf_dir, "smart_meters"))))
+
+
+def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records of rough topics, malformed text among them, as outgoing records with the original event nested."""
+    raw = _rough(spark, sf_dir, "air_quality").unionByName(_rough(spark, sf_dir, "bus_gps"))
+    sent = quality.dlq_json(jobs.dead_letters(raw, flag_malformed=True))
+    event = F.coalesce(F.get_json_object("value", "$.original_event[0]"), F.get_json_object("value", "$.original_event.timestamp"))
+    fields = [F.get_json_object("value", f"$.{c}").alias(c) for c in ("error_reason", "source_topic", "partition", "offset")]
+    return sent.select(*fields, event.alias("event"))
 
 
 def ward_energy_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,9 +165,9 @@ def ward_energy_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def health_advisories_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = jobs.health_advisories(_raw(spark, sf_dir, "air_quality"), tables.zone_profile(spark))
-    written = _replay(found, "update")
-    return _advisory_result(sinks.latest_updates(written, ["zone", "window_start", "window_end"]))
+    """Four micro-batches; windows that several of them change have several versions, of which the newest counts."""
+    means = _replay(jobs.rolling_means(replay.in_order(spark, sf_dir, "air_quality")), "update")
+    return _advisory_result(jobs.current_advisories(means, tables.zone_profile(spark)))
 
 
 def dlq_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,19 +175,62 @@ def dlq_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replay(jobs.dead_letters(raw)).drop("batch_id")
 
 
-def route_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions joined per micro-batch with the changelog as it stands then."""
-    fields = schemas.ROUTE_SCHEDULE.fieldNames()
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = city.schedule_changes(city.events(spark, sf_dir)).withColumn("partition", F.lit(0))
+    return streams.as_envelope(typed, "route_schedule", schemas.ROUTE_SCHEDULE.fieldNames(), key="route_id")
 
-    def changes() -> DataFrame:
-        typed = city.schedule_changes(city.events(spark, sf_dir)).withColumn("partition", F.lit(0))
-        return streams.as_envelope(typed, "route_schedule", fields, key="route_id")
 
-    written = _replay(_raw(spark, sf_dir, "bus_gps"), each_batch=lambda batch: enrich.enriched_records(
-        batch, enrich.schedule_from_topic(changes())))
+def route_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions to a topic in four micro-batches, each joined with the changelog's content as it stands then."""
+    path = scratch(spark, "enriched")
+    query = jobs.start_enriched_gps_to_topic(
+        replay.in_order(spark, sf_dir, "bus_gps"), lambda: _changes(spark, sf_dir), ChangelogSnapshot(spark, f"{path}/snapshot"),
+        lambda rows: rows.write.mode("append").parquet(f"{path}/topic"), lambda: spark.read.parquet(f"{path}/topic"),
+        path, f"{path}/checkpoint", NOW)
+    sinks.await_all(query)
     wide = schemas._struct(*[(f.name, f.dataType) for f in schemas.BUS_GPS],
                            *[(c, schemas.ROUTE_SCHEDULE[c].dataType) for c in enrich.ADDED])
-    return written.select("key", F.from_json("value", wide).alias("d")).select("key", "d.*")
+    rows = spark.read.schema("key string, value string").parquet(f"{path}/topic")
+    return rows.select("key", F.from_json("value", wide).alias("d")).select("key", "d.*")
+
+
+def _reordered(topic: str, result: Callable[[DataFrame], DataFrame]):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Six micro-batches of records out of order; a few come so late that they raise no alert."""
+        raw = replay.disordered(spark, sf_dir, topic)
+        return result(_replay(jobs.reordered_alerts(raw, topic, scratch(spark, "reordered"), NOW)))
+    return query
+
+
+def bus_bunching_split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four micro-batches whose rows, also those of one route, are spread over all tasks."""
+    path = scratch(spark, "bunching")
+    sinks.await_all(bunching.start(replay.in_order(spark, sf_dir, "bus_gps"), path, f"{path}/checkpoint", NOW))
+    return bunching.alerts(spark, path).select(*detect.BUNCHING_ALERT)
+
+
+def _late(topic: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The records that came behind the topic's bound, as dead letters."""
+        path = scratch(spark, "late")
+        sinks.await_all(reorder.start(replay.disordered(spark, sf_dir, topic), path, f"{path}/checkpoint", reorder.BOUND_MS[topic], NOW))
+        field = {"smart_meters": "ward_id", "air_quality": "sensor_id"}[topic]
+        return reorder.late_records(spark, path).select(
+            "error_reason", "source_topic", "partition", "offset", F.get_json_object("original_event", f"$.{field}").alias("subject"))
+    return query
+
+
+def signal_lanes_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two readers of one topic: one takes all there is at once, one a file at a time; how far each is behind after each batch."""
+    path = replay.written(city.traffic_signals(city.events(spark, sf_dir)), "traffic_signals", 4, F.col("event_id") * 10)
+    total = city.events(spark, sf_dir).count()
+    out, rows = scratch(spark, "lanes"), []
+    queries = {lane: lanes.start_lane(streams.from_files(spark, path, max_files=limit), lane, f"{out}/{lane}", f"{out}/checkpoint-{lane}", NOW)
+               for lane, limit in ((lanes.HIGH, None), (lanes.STANDARD, 1))}
+    for lane, query in queries.items():
+        query.awaitTermination()
+        rows += lanes.lag(lane, query, total)
+    return spark.createDataFrame(rows, "lane string, batch int, n_rows long, behind long")
 
 
 def aqi_emergency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +319,7 @@ def route_schedule_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_bus_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     gps = quality.valid_rows(_view("bus_gps", spark, sf_dir), "bus_gps").select(*POSITION)
-    return latest_by_key(gps, ["route_id", "bus_id"], ["event_time", "offset"])
+    return latest_by_key(gps, ["route_id", "bus_id"], ["event_time", "offset"], unique=True)
 
 
 # -- incidents -----------------------------------------------------------------------------
@@ -261,7 +351,7 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.incidents(
         detect.aqi_emergencies(_view("air_quality", spark, sf_dir)),
         detect.gridlocks(_view("traffic_signals", spark, sf_dir)),
-        proximity.bus_bunching(_view("bus_gps", spark, sf_dir))).drop("value")
+        proximity.bus_bunching(_view("bus_gps", spark, sf_dir)))
 
 
 # -- single functions ----------------------------------------------------------------------
@@ -331,6 +421,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bus_bunching": bus_bunching,
     "bus_bunching_stream": bus_bunching_stream,
     "incidents": incidents,
+    "aqi_emergency_reordered_stream": _reordered("air_quality", lambda df: df.select(*detect.AQI_ALERT)),
+    "gridlock_reordered_stream": _reordered("traffic_signals", lambda df: _gridlock_result(df)),
+    "bus_bunching_reordered_stream": _reordered("bus_gps", lambda df: df.select(*detect.BUNCHING_ALERT)),
+    "bus_bunching_split_stream": bus_bunching_split_stream,
+    "late_air_rows_stream": _late("air_quality"),
+    "late_meter_rows_stream": _late("smart_meters"),
+    "gridlock_rough": gridlock_rough,
+    "ward_energy_rough": ward_energy_rough,
+    "ward_energy_records": ward_energy_records,
+    "route_schedule_csv": route_schedule_csv,
+    "route_changelog_records": route_changelog_records,
+    "dlq_records": dlq_records,
+    "signal_lanes_lag": signal_lanes_lag,
     "signal_feed_high": _feed(lanes.HIGH),
     "signal_feed_standard": _feed(lanes.STANDARD),
     "signal_lane_high_stream": _lane(lanes.HIGH),

@@ -13,7 +13,8 @@ ENVELOPE_COLUMNS = schemas.ENVELOPE.fieldNames()
 
 
 def kafka_read_options(servers: str, topics: Sequence[str], *, streaming: bool = True,
-                       starting: str | None = None, max_offsets: int | None = None) -> dict[str, str]:
+                       starting: str | None = None, max_offsets: int | None = None,
+                       fail_on_data_loss: bool = False) -> dict[str, str]:
     """Options of a broker scan.
 
     Streams start at the latest offset on their first run (afterwards the checkpoint decides);
@@ -23,7 +24,7 @@ def kafka_read_options(servers: str, topics: Sequence[str], *, streaming: bool =
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting or ("latest" if streaming else "earliest"),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if not streaming:
         options["endingOffsets"] = "latest"

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from citystream.operators import advisory, decode, detect, energy, enrich, quality
-from citystream.streaming import detectors, sinks
+from citystream.sources.snapshot import ChangelogSnapshot
+from citystream.streaming import detectors, reorder, sinks
 
 ADVISORY_TRIGGER = {"processingTime": "30 seconds"}
 
@@ -46,6 +47,20 @@ def start_health_advisories(raw: DataFrame, zones: DataFrame, servers: str, topi
                           "update", ADVISORY_TRIGGER)
 
 
+def rolling_means(raw: DataFrame) -> DataFrame:
+    """The sliding means alone, for update mode: every version of a window's mean is written, whatever its level."""
+    return advisory.rolling_aqi(decode.air_quality(raw))
+
+
+def current_advisories(means: DataFrame, zones: DataFrame) -> DataFrame:
+    """Advisories from a table of ``rolling_means``: the newest version of each window decides.
+
+    A window whose mean has fallen back below the threshold has none any more.
+    """
+    newest = sinks.latest_updates(means, ["zone", "window_start", "window_end"])
+    return advisory.advisories(newest, zones)
+
+
 def dead_letters(raw: DataFrame, flag_malformed: bool = False) -> DataFrame:
     """Rejected rows of an envelope stream that mixes the validated topics."""
     return quality.dead_letters_of_mixed(raw, flag_malformed)
@@ -62,6 +77,18 @@ def enriched_gps(raw: DataFrame, schedule: DataFrame) -> DataFrame:
     return enrich.enriched_records(raw, schedule)
 
 
+def start_enriched_gps_to_topic(raw: DataFrame, read_changes: Callable[[], DataFrame], snapshot: ChangelogSnapshot,
+                                send: Callable[[DataFrame], None], sent: Callable[[], DataFrame] | None, path: str, checkpoint: str,
+                                trigger: dict | None = None) -> StreamingQuery:
+    """Positions with timetable columns to a topic, each once; every micro-batch takes in the changelog's new records only."""
+    def enriched(batch: DataFrame) -> DataFrame:
+        snapshot.advance(read_changes())
+        schedule = enrich.schedule_from_content(snapshot.content())
+        return enrich.enriched_records(batch, schedule, carry=[sinks.DEDUPLICATION])
+
+    return sinks.to_topic_once(raw, send, sent, path, checkpoint, trigger, enriched)
+
+
 def start_enriched_gps(raw: DataFrame, read_changes: Callable[[], DataFrame], path: str, checkpoint: str,
                        trigger: dict | None = None) -> StreamingQuery:
     """Positions with timetable columns; the changelog is read anew for every micro-batch."""
@@ -70,6 +97,17 @@ def start_enriched_gps(raw: DataFrame, read_changes: Callable[[], DataFrame], pa
         each_batch=lambda batch: enrich.enriched_records(batch, enrich.schedule_from_topic(read_changes())))
 
 
+def reordered_alerts(raw: DataFrame, topic: str, path: str, trigger: dict, bound_ms: int | None = None) -> DataFrame:
+    """The alerts of a bounded replay whose records come out of order: back into order first, then the rule, as two streams.
+
+    A running system starts ``reorder.start`` and the rule on ``reorder.released`` as queries side by side.
+    """
+    spark = raw.sparkSession
+    sinks.await_all(reorder.start(raw, path, f"{path}/checkpoint", reorder.BOUND_MS[topic] if bound_ms is None else bound_ms, trigger))
+    reorder.drain(spark, path)
+    return alerts(reorder.released(spark, path), topic)
+
+
 DETECTORS = {
     "air_quality": detectors.aqi_emergencies,
     "traffic_signals": detectors.gridlocks,

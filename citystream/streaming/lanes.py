@@ -36,3 +36,16 @@ def backlog(query: StreamingQuery) -> dict[str, object]:
         "rows_per_second": progress["processedRowsPerSecond"],
         "sources": [{"end": s["endOffset"], "latest": s["latestOffset"]} for s in progress["sources"]],
     }
+
+
+def lag(lane: str, query: StreamingQuery, total: int) -> list[tuple[str, int, int, int]]:
+    """Per micro-batch of a lane, from its progress reports: lane, batch, rows read, and rows of ``total`` still behind it.
+
+    Reports of empty triggers are left out; Spark keeps the last 100 (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    out, done = [], 0
+    for progress in query.recentProgress:
+        if rows := progress["numInputRows"]:
+            done += rows
+            out.append((lane, len(out), rows, total - done))
+    return out
