@@ -330,7 +330,7 @@ qualify row_number() over (partition by route_id, bus_id order by event_time des
     "bus_bunching_split_stream": _BUNCH,
     "late_air_rows_stream": _late("air", "air_quality", "sensor_id", 10),
     "late_meter_rows_stream": _late("meters", "smart_meters", "ward_id", 2700),
-    "gridlock_rough": _with("signals", _GRID_SELECT, _ROUGH_SIGNALS, *[c.replace("from signals", "from waits") for c in _GRID_CTES], recursive=True),
+    "gridlock_rough_stream": _with("signals", _GRID_SELECT, _ROUGH_SIGNALS, *[c.replace("from signals", "from waits") for c in _GRID_CTES], recursive=True),
     "ward_energy_rough": _with("meters", "select * from ward", _ROUGH_METERS, _WARD.replace("from meters", "from kept_meters")),
     "ward_energy_records": _with("meters", f"""select ward_id as key, {_json(
         _text("ward_id"), *[f"""'"{c}":"' || strftime({c}, '%Y-%m-%dT%H:%M:%S.000Z') || '"'""" for c in ("window_start", "window_end")],

@@ -132,8 +132,9 @@ def _rough(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return raw.withColumn("value", F.expr(city.ROUGH[topic]))
 
 
-def gridlock_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gridlock_result(detect.gridlocks(decode.detector_input(_rough(spark, sf_dir, "traffic_signals"), "traffic_signals")))
+def gridlock_rough_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw(spark, sf_dir, "traffic_signals").withColumn("value", F.expr(city.ROUGH["traffic_signals"]))
+    return _gridlock_result(_replay(jobs.alerts(raw, "traffic_signals")))
 
 
 def ward_energy_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,7 +428,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bus_bunching_split_stream": bus_bunching_split_stream,
     "late_air_rows_stream": _late("air_quality"),
     "late_meter_rows_stream": _late("smart_meters"),
-    "gridlock_rough": gridlock_rough,
+    "gridlock_rough_stream": gridlock_rough_stream,
     "ward_energy_rough": ward_energy_rough,
     "ward_energy_records": ward_energy_records,
     "route_schedule_csv": route_schedule_csv,
