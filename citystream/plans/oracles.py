@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from citystream.functions.levels import ADVISORY_LEVELS, ADVISORY_MESSAGES
-from citystream.operators.retention import DAYS
-from citystream.sources.tables import ROUTE_SCHEDULE_ROWS, ZONE_PROFILE_ROWS
+# Fixed values of the city, written out here once more so that a wrong one in the package does not go unnoticed.
+_ZONES = """('North', 'North Zone', 125000, 12, 3, 48), ('South', 'South Zone', 98000, 8, 2, 35), ('East', 'East Zone', 145000, 15, 4, 52),
+  ('West', 'West Zone', 112000, 10, 2, 41), ('Central', 'Central Zone', 200000, 25, 6, 28)"""
+_ROUTES = """('R10', 'Airport Express', 'Airport', '08:45'), ('R11', 'Tech Park Shuttle', 'Tech Park', '09:00'),
+  ('R12', 'City Center Loop', 'City Center', '09:15'), ('R13', 'Ring Road Service', 'Ring Road', '09:30'),
+  ('R14', 'Metro Connector', 'Metro Station', '09:45')"""
+_LEVEL = "case when aqi > 300 then 'HAZARDOUS' when aqi > 200 then 'VERY_UNHEALTHY' else 'UNHEALTHY' end"
+_MESSAGE = """case when aqi > 300 then 'Immediate evacuation recommended. All outdoor activity prohibited.'
+  when aqi > 200 then 'Health alert: Everyone should avoid prolonged outdoor exposure.'
+  else 'Sensitive groups should avoid outdoor activity. General public: limit exposure.' end"""
 
 _BASE = """base as (
   select event_id, event_id as "offset", user_id, ts,
@@ -47,10 +54,8 @@ _VIEWS = {
     'Terminal ' || cast(h % 7 as varchar) as terminal,
     lpad(cast(5 + h % 18 as varchar), 2, '0') || ':' || lpad(cast(h % 60 as varchar), 2, '0') as scheduled_arrival_time
   from base)""",
-    "zones": "zones(zone, zone_name, population, num_schools, num_hospitals, area_sq_km) as (values "
-             + ", ".join(str(r) for r in ZONE_PROFILE_ROWS) + ")",
-    "routes": "routes(route_id, route_name, terminal, scheduled_arrival_time) as (values "
-              + ", ".join(str(r) for r in ROUTE_SCHEDULE_ROWS) + ")",
+    "zones": "zones(zone, zone_name, population, num_schools, num_hospitals, area_sq_km) as (values " + _ZONES + ")",
+    "routes": "routes(route_id, route_name, terminal, scheduled_arrival_time) as (values " + _ROUTES + ")",
 }
 
 
@@ -87,16 +92,11 @@ _ROLLING = """rolling as (
   from air, range(10) r(b) where aqi between 0 and 500 group by zone, window_start)"""
 
 
-def _case(table) -> str:
-    branches = " ".join(f"when aqi > {bound} then '{text}'" for bound, text in table[:-1])
-    return f"case {branches} else '{table[-1][1]}' end"
-
-
 _AVERAGES = ("round(aqi, 9) as rolling_avg_aqi, round(pm25, 9) as rolling_avg_pm25, "
              "round(pm10, 9) as rolling_avg_pm10")
 _ADVISORIES = _with("air zones", f"""
 select zone, zone_name, population, num_schools, num_hospitals, window_start, window_end, {_AVERAGES},
-       {_case(ADVISORY_LEVELS)} as advisory_level, {_case(ADVISORY_MESSAGES)} as advisory_message
+       {_LEVEL} as advisory_level, {_MESSAGE} as advisory_message
 from rolling left join zones using (zone) where aqi > 150""", _ROLLING)
 
 # -- data quality --------------------------------------------------------------------------
@@ -349,9 +349,9 @@ union all {_rough_letters("gps", "bus_gps", _GPS_REASON)}) where error_reason is
   try_cast(text as timestamp) as iso_time, coalesce(iso_time, event_time) as time_or_arrival
 from (select "offset", event_time, case event_id % 4 when 0 then timestamp
       when 1 then substr(timestamp, 1, 19) || 'Z' when 2 then 'not a time' end as text from air)"""),
-    "retained_bus_gps": _retained("gps", DAYS["bus_gps"]),
-    "retained_air_quality": _retained("air", DAYS["air_quality"]),
-    "retained_traffic_signals": _retained("signals", DAYS["traffic_signals"]),
-    "retained_smart_meters": _retained("meters", DAYS["smart_meters"]),
-    "retained_dlq": _retained("air", DAYS["dlq"], f", {_AIR_REASON} as error_reason", f"({_AIR_REASON}) is not null"),
+    "retained_bus_gps": _retained("gps", 1),
+    "retained_air_quality": _retained("air", 90),
+    "retained_traffic_signals": _retained("signals", 7),
+    "retained_smart_meters": _retained("meters", 365),
+    "retained_dlq": _retained("air", 30, f", {_AIR_REASON} as error_reason", f"({_AIR_REASON}) is not null"),
 }
