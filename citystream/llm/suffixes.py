@@ -1,13 +1,13 @@
-"""Removal of long repeated byte strings with a logarithmic family of sparse suffix arrays.
+"""Removal of long repeated byte strings with a logarithmic family of indexes over sparse suffixes.
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere else, in its own
 document or another. Only strings of that length or more matter, so the index holds few suffixes:
 every string of LENGTH bytes is represented by its anchor, the one of its ``GRAM``-byte substrings with the
 smallest 64-bit hash, and neighbouring strings mostly share theirs. Equal strings have equal
-anchors. A suffix array is the sorted list of the anchored suffixes' fingerprints (of their first GRAM
-bytes: the bytes themselves cannot be shipped, and an order by fingerprint finds the same matches of that length).
+anchors. An anchored suffix stands in the index by the fingerprint of its first GRAM bytes. There is no sorted suffix
+array: a level is an unordered table of fingerprints with counts, and a scan against it is an equality join.
 
-``Levels`` is the index family. A new batch gets its own array, is merge-scanned against every level, and then
+``Levels`` is the index family. A new batch gets its own table, is looked up in every level, and then
 takes part in the geometric merging: equal-sized levels become one of the next size, so n batches
 are in at most log2(n) + 1 levels and an entry is moved log2(n) times.
 

@@ -8,6 +8,10 @@ no extension improves). For a text of n tokens a segment of score S is as likely
 ``K n exp(-lambda S)`` says, lambda and K from the clean texts; the segments of one text are pooled
 by their summed excess, and a logistic curve turns the pooled evidence into a score.
 
+A token's toxic documents count at most once for each different token that stands before it there: copies of one toxic
+passage show its words in the same neighbourhood again and again, and would else make all of them look toxic.
+Clean documents are counted as they are, so that the limit can only lower a weight.
+
 Null and empty texts, and texts without a weighed token, get the base score. Ties cannot occur:
 equal texts get equal scores. Without labels of both kinds every text scores 0.
 """
