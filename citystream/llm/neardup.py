@@ -293,3 +293,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+runs as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as run
+  from (select *, unnest(range(1, case when len(w) >= 5 then len(w) - 3 when len(w) > 0 then 2 else 1 end)) as i from words)),
+sizes as (select doc_id, count(*) as n from runs group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from runs a join runs b on a.run = b.run and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (select a, b from both_ways union select r.a, l.b from reach r join both_ways l on l.a = r.b),
+lowest as (select a as doc_id, min(b) as low from reach group by a)
+select w.doc_id, coalesce(n, 0) as n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) as component_id,
+       w.doc_id = least(w.doc_id, coalesce(low, w.doc_id)) as kept
+from words w left join sizes using (doc_id) left join lowest using (doc_id)"""

@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op4_sentence_spans": spans.ORACLE,
+    "op7_near_duplicates": neardup.ORACLE,
     "op11_prefix_trie": trie.ORACLE,
     "op12_exact_duplicates": exactdup.ORACLE,
     "op13_manifest": merkle.ORACLE,

@@ -21,7 +21,7 @@ def rows_of(df, names=None):
     return sorted((tuple(r[c] for c in names or df.columns) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize(("name", "table"), [("op11_prefix_trie", "conversations"), ("op12_exact_duplicates", "documents"), ("op13_manifest", "documents")])
+@pytest.mark.parametrize(("name", "table"), [("op7_near_duplicates", "documents"), ("op11_prefix_trie", "conversations"), ("op12_exact_duplicates", "documents"), ("op13_manifest", "documents")])
 def test_query_equals_its_sql(spark, name, table):
     con = duckdb.connect()
     con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
