@@ -21,6 +21,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +51,9 @@ MAIN = frozenset("article body content entry main post story text page column pr
 
 MAIN_NAMES = frozenset("article content entry post story".split())   # sure enough to learn from
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:"[^"]*"|'[^']*')|=)*+)>"""
-                 r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
+COMMENT, ROUGH = r"<!--.*?(?:-->|\Z)", r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>"
+TAG = re.compile(COMMENT + r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*(?:"[^"]*"|'[^']*')|=)*+)>|""" + ROUGH, re.S)
+ROUGH_TAG = re.compile(f"{COMMENT}|{ROUGH}", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 
@@ -72,7 +74,26 @@ class Page:
         stack: list[tuple[str, int]] = [("html", 0)]   # open elements with their nearest block
         pieces: list[str] = []
         linked = links = 0
-        silent, last = "", 0
+        last, end = 0, source.rfind(">") + 1    # nothing behind the last > is a tag
+        pattern, endless = TAG, set()
+        open_at: dict[str, list[int]] = {}       # where in the stack each tag is open
+        blocks_at: list[int] = []
+
+        def push(name: str, block: int) -> None:
+            open_at.setdefault(name, []).append(len(stack))
+            if name in BLOCKS:
+                blocks_at.append(len(stack))
+            stack.append((name, block))
+
+        def pop(k: int) -> None:
+            while len(stack) > k:
+                name, _ = stack.pop()
+                open_at[name].pop()
+                if name in BLOCKS:
+                    blocks_at.pop()
+
+        def innermost(names) -> int:
+            return max((open_at[n][-1] for n in names if open_at.get(n)), default=0)
 
         def flush() -> None:
             nonlocal linked
@@ -84,7 +105,7 @@ class Page:
 
         def add(text: str) -> None:
             nonlocal linked
-            if not text or silent:
+            if not text:
                 return
             text = html.unescape(text) if "&" in text else text
             pieces.append(text)
@@ -92,27 +113,30 @@ class Page:
                 linked += len(text.strip())
 
         def close(names: tuple[str, ...], stop: frozenset[str]) -> None:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in names:
-                    flush()
-                    del stack[k:]
-                    return
-                if stack[k][0] in stop:
-                    return
-
-        while m := TAG.search(source, last):   # from where a script ended, whatever looks like a tag inside it
+            k = innermost(names)
+            if k and k > innermost(stop):
+                flush()
+                pop(k)
+
+        while m := pattern.search(source, last, end):   # from where a script ended, whatever looks like a tag inside it
             add(source[last:m.start()])
             last = m.end()
-            name = (m.group(2) or m.group(5) or "").lower()
-            if not name:
-                continue
-            ending, rest = m.group(1) or m.group(4), m.group(3) or m.group(6) or ""
-            if silent:
+            ending, name, rest = m.group(1, 2, 3)
+            if pattern is TAG and name is None:
+                ending, name, rest = m.group(4, 5, 6)
+                if name is not None:    # a value whose quotes leave no end of the tag: quotes count for nothing from here on
+                    pattern = ROUGH_TAG
+            if name is None:
+                if source.startswith("<!--", m.start()) and not m.group().endswith("-->"):
+                    last = len(source)
                 continue
+            name = name.lower()
             if not ending and name in SILENT:
                 if not rest.endswith("/") or name in ("script", "style"):
-                    end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, last)
-                    last = end.end() if end else len(source) if name in ("script", "style", "textarea") else last
+                    closed = None if name in endless else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, last)
+                    if closed is None:
+                        endless.add(name)
+                    last = closed.end() if closed else len(source) if name in ("script", "style", "textarea") else last
                     pieces.append(" ")
                 continue
             if name in ("br", "wbr", "img", "hr"):
@@ -124,17 +148,17 @@ class Page:
             if ending:
                 if name == "a":
                     links = max(links - 1, 0)
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0)
-                if k and not (name not in BLOCKS and any(stack[j][0] in BLOCKS for j in range(k, len(stack)))):
+                k = innermost((name,))
+                if k and (name in BLOCKS or not blocks_at or blocks_at[-1] < k):
                     if name in BLOCKS:
                         flush()
                         links = 0
-                    del stack[k:]
+                    pop(k)
                 continue
             if name in BLOCKS:
                 flush()
                 links = 0
-                if name in ("html", "body") and any(t == name for t, _ in stack[1:]) or name == "html":
+                if name == "html" or name == "body" and open_at.get(name):
                     continue
                 close(("p",), HOLDS)
                 if name in CLOSES:
@@ -147,11 +171,11 @@ class Page:
                 self.parent.append(stack[-1][1])
                 self.attributes.append(rest)
                 self.inner.append(0)
-                stack.append((name, len(self.tags) - 1))
+                push(name, len(self.tags) - 1)
             else:
                 links += name == "a"
-                stack.append((name, owner))
-        add(source[last:])
+                push(name, owner)
+        add(source[last:].partition("<!--")[0])
         flush()
 
     def features(self) -> np.ndarray:
@@ -188,10 +212,10 @@ class Page:
                 hidden[k] = hidden[k] or hidden[p]
         siblings, like, place, near = (np.zeros(n) for _ in range(4))
         for group in children.values():
-            names = [self.tags[k] for k in group]
+            names = Counter(self.tags[k] for k in group)
             chars = total[group].sum()
             for i, k in enumerate(group):
-                siblings[k], like[k], place[k] = len(group), names.count(names[i]) / len(group), (i + 1) / len(group)
+                siblings[k], like[k], place[k] = len(group), names[self.tags[k]] / len(group), (i + 1) / len(group)
                 near[k] = (chars - total[k]) / max(len(group) - 1, 1)
         is_ = lambda names: np.array([t in names for t in self.tags], float)
         return np.column_stack([

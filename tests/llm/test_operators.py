@@ -5,6 +5,7 @@ import hashlib
 import html
 import itertools
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -283,6 +284,23 @@ def test_long_attributes_and_scripts_are_no_text():
     assert runs(page) == ["It is Ann's house.", "More"] and mainbody.Page(page).tags == ["html", "p", "p"]
 
 
+@pytest.mark.parametrize("piece", ["<a ", '<a x="', "<!x", "<p>x</b></i></q>", "<li>x", "<div></zz>", "<div><nav>", "<select>", '<a x="> " ', "<ul><li>",
+                                   "<b>x"])
+def test_a_hostile_megabyte_takes_seconds(piece):
+    began = time.process_time()
+    page = mainbody.Page("<p>First.</p>" + piece * (1_000_000 // len(piece)) + "<p>Last.</p>")
+    page.features()
+    page.labels()
+    page.decode(np.ones(len(page.tags)))
+    assert time.process_time() - began < 20 and page.runs[0][1] == "First."
+
+
+def test_quotes_that_leave_no_end_of_a_tag_count_for_nothing():
+    runs = lambda s: [text for _, text, _ in mainbody.Page(s).runs]
+    assert runs('<p>One<p x="> "two <p y="> " three') == ["One", '"two', '" three']
+    assert runs("<p>One<!-- a > b <p>two") == ["One"] and runs("<p>One<!-- <b") == ["One"] and runs("1 < 2 <p") == ["1 < 2 <p"]
+
+
 @pytest.mark.parametrize("run", [
     neardup.near_duplicates, suffixes.without_repeats, secrets.find_secrets, mixing.mix, spans.without_repeats,
     lambda d: toxicity.score(d, toxicity.Model()), lambda d: quality.score(d, quality.Model()),
