@@ -53,6 +53,7 @@ MAIN_NAMES = frozenset("article content entry post story".split())   # sure enou
 
 COMMENT, ROUGH = r"<!--.*?(?:-->|\Z)", r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>"
 TAG = re.compile(COMMENT + r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*(?:"[^"]*"|'[^']*')|=)*+)>|""" + ROUGH, re.S)
+OPENER = re.compile("<(?=[a-zA-Z/!?])")
 ROUGH_TAG = re.compile(f"{COMMENT}|{ROUGH}", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -118,7 +119,12 @@ class Page:
                 flush()
                 pop(k)
 
-        while m := pattern.search(source, last, end):   # from where a script ended, whatever looks like a tag inside it
+        at = 0
+        while opener := OPENER.search(source, max(at, last), end):   # from where a script ended, whatever looks like a tag inside it
+            at = opener.end()
+            m = pattern.match(source, opener.start())
+            if m is None:
+                continue
             add(source[last:m.start()])
             last = m.end()
             ending, name, rest = m.group(1, 2, 3)
@@ -127,8 +133,6 @@ class Page:
                 if name is not None:    # a value whose quotes leave no end of the tag: quotes count for nothing from here on
                     pattern = ROUGH_TAG
             if name is None:
-                if source.startswith("<!--", m.start()) and not m.group().endswith("-->"):
-                    last = len(source)
                 continue
             name = name.lower()
             if not ending and name in SILENT:
