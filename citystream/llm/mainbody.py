@@ -11,6 +11,11 @@ The trees are fitted per run on a bounded sample of the pages with labels from m
 is (``article`` and ``main`` against navigation, asides, forms and the like), together with the labelled
 skeletons below, which show comments, notices and sidebars also where the sample has none.
 
+Two ensembles learn from the same labels. One sees the names of tags and attributes. The other has them hidden, and so
+learns what main text looks like: density, links, sentences, siblings, share of the page. Pages whose
+markup does not say where their main text is are read by the second; what is named as something else there is
+main text only if both say so.
+
 The text of a page is that of its kept blocks in page order, one a line, white space collapsed and
 character references decoded. Scripts, styles and form controls are never text. Null and empty
 pages give empty text. Equal pages give equal text.
@@ -60,7 +65,13 @@ HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?tru
 
 FEATURES = ["depth", "own_chars", "own_link_share", "subtree_chars", "subtree_link_share", "tags_per_char", "away_tokens", "main_tokens",
             "away_above", "main_above", "away_tag", "away_tag_above", "is_p", "is_heading", "is_item", "is_cell", "siblings", "like_siblings",
-            "place", "sibling_chars", "words", "stops_per_word", "in_article", "hidden"]
+            "place", "sibling_chars", "words", "stops_per_word", "in_article", "hidden", "share", "parent_share", "children", "parent_stops",
+            "says_main"]
+# what names tell, what only the ensemble without them sees, and what names a block as something other than main text
+NAMES = [FEATURES.index(f) for f in ("away_tokens", "main_tokens", "away_above", "main_above", "away_tag", "away_tag_above", "like_siblings",
+                                     "in_article", "hidden", "says_main")]
+SHAPE = [FEATURES.index(f) for f in ("share", "parent_share", "children", "parent_stops", "says_main")]
+ELSE = [FEATURES.index(f) for f in ("away_tokens", "away_above", "away_tag", "away_tag_above", "hidden")]
 
 
 class Page:
@@ -190,9 +201,10 @@ class Page:
             own_link[owner] += min(linked, len(text))
             words[owner] += text.count(" ") + 1
             stops[owner] += text.count(".") + text.count("!") + text.count("?")
-        total, total_link, tags = own.copy(), own_link.copy(), np.array(self.inner, float)
+        total, total_link, tags, ends = own.copy(), own_link.copy(), np.array(self.inner, float), stops.copy()
         for k in range(n - 1, 0, -1):
             p = self.parent[k]
+            ends[p] += ends[k]
             total[p] += total[k]
             total_link[p] += total_link[k]
             tags[p] += tags[k]
@@ -214,18 +226,22 @@ class Page:
                 away_tag_above[k] = away_tag_above[p] + (self.tags[p] in AWAY_TAGS)
                 article[k] = article[p] or self.tags[p] in ("article", "main")
                 hidden[k] = hidden[k] or hidden[p]
-        siblings, like, place, near = (np.zeros(n) for _ in range(4))
-        for group in children.values():
+        siblings, like, place, near, within = (np.zeros(n) for _ in range(5))
+        for p, group in children.items():
             names = Counter(self.tags[k] for k in group)
             chars = total[group].sum()
+            within[p] = len(group)
             for i, k in enumerate(group):
                 siblings[k], like[k], place[k] = len(group), names[self.tags[k]] / len(group), (i + 1) / len(group)
                 near[k] = (chars - total[k]) / max(len(group) - 1, 1)
+        above = np.maximum(np.array(self.parent), 0)
+        says = np.full(n, float(main.any() or any(t in ("article", "main") for t in self.tags)))
         is_ = lambda names: np.array([t in names for t in self.tags], float)
         return np.column_stack([
             depth, own, own_link / np.maximum(own, 1), total, total_link / np.maximum(total, 1), tags / np.maximum(total, 1), away, main,
             away_above, main_above, is_(AWAY_TAGS), away_tag_above, is_(("p",)), is_(("h1", "h2", "h3", "h4", "h5", "h6")),
-            is_(("li", "dd", "dt")), is_(("td", "th")), siblings, like, place, near, words, stops / np.maximum(words, 1), article, hidden])
+            is_(("li", "dd", "dt")), is_(("td", "th")), siblings, like, place, near, words, stops / np.maximum(words, 1), article, hidden,
+            total / max(total[0], 1), total[above] / max(total[0], 1), within, ends[above] / np.maximum(total[above], 1), says])
 
     def labels(self) -> np.ndarray:
         """1 for main text, 0 for what markup names as something else, -1 if it does not say."""
@@ -345,7 +361,25 @@ class Trees:
         return total
 
 
-def fit(pages: DataFrame, most: int = FIT_PAGES) -> Trees:
+class Reader:
+    """The two ensembles, and which of them reads a page."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray) -> None:
+        self.named, self.shape = Trees().fit(self._without(x, SHAPE), y), Trees().fit(self._without(x, NAMES), y)
+
+    @staticmethod
+    def _without(x: np.ndarray, columns: list[int]) -> np.ndarray:
+        x = x.copy()
+        x[:, columns] = 0
+        return x
+
+    def odds(self, x: np.ndarray) -> np.ndarray:
+        says, named_else = x[:, FEATURES.index("says_main")] > 0, (x[:, ELSE] > 0).any(1)
+        named, shape = self.named.odds(self._without(x, SHAPE)), self.shape.odds(self._without(x, NAMES))
+        return np.where(says, named, np.where(named_else, np.minimum(named, shape), shape))
+
+
+def fit(pages: DataFrame, most: int = FIT_PAGES) -> Reader:
     """Trees from at most ``most`` pages, taken by a hash of page_id, and the skeletons."""
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -367,10 +401,10 @@ def fit(pages: DataFrame, most: int = FIT_PAGES) -> Trees:
         labels[:2] = -1  # the page and its body say nothing
         xs.append(page.features()[labels >= 0])
         ys.append(labels[labels >= 0])
-    return Trees().fit(np.concatenate(xs), np.concatenate(ys))
+    return Reader(np.concatenate(xs), np.concatenate(ys))
 
 
-def extract(pages: DataFrame, trees: Trees) -> DataFrame:
+def extract(pages: DataFrame, trees: Reader) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -284,6 +284,21 @@ def test_long_attributes_and_scripts_are_no_text():
     assert runs(page) == ["It is Ann's house.", "More"] and mainbody.Page(page).tags == ["html", "p", "p"]
 
 
+def test_main_text_is_found_without_names(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    reader = mainbody.fit(pages)
+    text = lambda s: (p := mainbody.Page(s)).text(reader.odds(p.features()))
+    shares = []
+    for row in pages.collect():
+        bare = re.sub(r"<(/?)(article|nav|aside|header|footer|main)\b", r"<\1div", row.html)
+        bare = re.sub(r"""\s(class|id)=("[^"]*"|'[^']*'|[^\s>]+)""", "", bare)
+        want, got = set(text(row.html).split("\n")), set(text(bare).split("\n"))
+        shares.append(len(want & got) / len(want | got))
+    assert np.mean(shares) >= 0.9
+    skeleton = text(re.sub(r" (class|id)=[\w-]+", "", mainbody.SKELETONS[1]).replace("article", "div").replace("nav", "div"))
+    assert "Of all that was said" in skeleton and "Home" not in skeleton
+
+
 @pytest.mark.parametrize("piece", ["<a ", '<a x="', "<!x", "<p>x</b></i></q>", "<li>x", "<div></zz>", "<div><nav>", "<select>", '<a x="> " ', "<ul><li>",
                                    "<b>x"])
 def test_a_hostile_megabyte_takes_seconds(piece):
