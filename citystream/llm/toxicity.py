@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from citystream.llm import labelled
 from citystream.llm.words import Splitter, slices, text_bytes
+from citystream.session import cut
 
 PER_CLASS = 20_000      # labelled rows to fit on, per label
-VOCABULARY = 50_000     # weighed tokens
 PRIOR = 0.05            # pseudo-documents of the prior, as a share of the sample
 SIGMAS = 1.64
 LEAST = 2.0             # natural log of the odds ratio that is sure enough to count
@@ -77,17 +77,18 @@ def segments(places: np.ndarray, weights: np.ndarray, drift: float) -> list[tupl
     return [(int(a), int(b), right - left) for a, b, left, right in open_]
 
 
-def evidence(found: list[tuple[int, int, float]], n: int, model: Model) -> tuple[float, int]:
-    """Pooled excess of a text's segments over chance, and how many are significant (1 in 100)."""
-    excess = sorted((model.scale * s - np.log(max(model.factor * n, 1e-9)) for *_, s in found), reverse=True)
+def evidence(found: list[tuple[int, int, float]], n: int, model: Model) -> tuple[float, list[tuple[int, int, float]]]:
+    """Pooled excess of a text's segments over chance, and those that are significant (1 in 100), in text order."""
+    excess = [model.scale * s - np.log(max(model.factor * n, 1e-9)) for *_, s in found]
     pooled, best = 0.0, 0.0
-    for r, x in enumerate(excess, 1):
+    for r, x in enumerate(sorted(excess, reverse=True), 1):
         pooled += x + np.log(r)
         best = max(best, pooled)
-    return best, sum(x > np.log(100) for x in excess)
+    return best, [s for s, x in zip(found, excess, strict=True) if x > np.log(100)]
 
 
-MEASURES = "doc_id long, n_tokens long, best double, pooled double, n_segments int, first int, last int"
+PASSAGES = "array<struct<first:int,last:int,score:double>>"
+MEASURES = f"doc_id long, n_tokens long, best double, pooled double, first int, last int, passages {PASSAGES}"
 
 
 def _measure(model: Model):
@@ -96,7 +97,7 @@ def _measure(model: Model):
         for part in slices(batches, "text"):
             _, _, hashes, rows = splitter.split(*text_bytes(part.column("text")))
             k = len(rows) - 1
-            best, pooled, count = np.zeros(k), np.zeros(k), np.zeros(k, np.int32)
+            best, pooled, count, passages = np.zeros(k), np.zeros(k), np.zeros(k, np.int32), []
             span = np.full((k, 2), -1, np.int32)
             if len(model.tokens) and len(hashes):
                 at = np.minimum(np.searchsorted(model.tokens, hashes), len(model.tokens) - 1)
@@ -109,11 +110,16 @@ def _measure(model: Model):
                     if found:
                         top = max(found, key=lambda s: s[2])
                         best[row], span[row] = top[2], top[:2]
-                        pooled[row], count[row] = evidence(found, int(rows[row + 1] - rows[row]), model)
+                        pooled[row], significant = evidence(found, int(rows[row + 1] - rows[row]), model)
+                        count[row] = len(significant)
+                        passages += significant
+            firsts, lasts, scores = zip(*passages, strict=True) if passages else ((), (), ())
+            flat = pa.StructArray.from_arrays([pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32()), pa.array(scores, pa.float64())],
+                                              names=["first", "last", "score"])
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id").cast(pa.int64()), pa.array(np.diff(rows)), pa.array(best), pa.array(pooled),
-                pa.array(count), pa.array(span[:, 0]), pa.array(span[:, 1])],
-                names=[c.split()[0] for c in MEASURES.split(", ")])
+                pa.array(span[:, 0]), pa.array(span[:, 1]), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), flat)],
+                names=["doc_id", "n_tokens", "best", "pooled", "first", "last", "passages"])
     return run
 
 
@@ -157,9 +163,12 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 0.0), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, vocabulary: int = VOCABULARY) -> Model:
-    """Fits on at most ``per_class`` labelled texts of either label outside the held-out fold."""
-    sample = labelled.sample(docs, labels, "toxic", FOLDS, FOLD, per_class)
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+    """Fits on at most ``per_class`` labelled texts of either label outside the held-out fold.
+
+    The sample is written once, so ``docs`` is read once. The weighed tokens, which all come from its toxic texts, go to every task.
+    """
+    sample = cut(labelled.sample(docs, labels, "toxic", FOLDS, FOLD, per_class))
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model()
@@ -171,8 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, vocabula
     odds = lambda k, n: F.log((k + alpha) / (n * (1 + PRIOR) - k + 1))
     error = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))
     weight = odds(F.col("toxic"), sizes[1]) - odds(F.col("clean"), sizes[0]) - SIGMAS * error
-    rows = (counts.select("token", "toxic", "clean", weight.alias("weight")).where(F.col("weight") >= LEAST)
-            .orderBy(F.desc("weight"), "token").limit(vocabulary).toPandas())
+    rows = counts.select("token", "toxic", "clean", weight.alias("weight")).where(F.col("weight") >= LEAST).toPandas()
     tokens = rows["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     model = Model(tokens[order], rows["weight"].to_numpy(float)[order])
@@ -192,10 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, vocabula
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row of ``docs``: doc_id, score, n_segments (significant passages), first and last token of the best."""
+    """Per row of ``docs``: doc_id, score, passages (all significant ones, in text order), n_segments, first and last token of the best."""
     logit = model.base + model.slope * F.log1p("pooled")
     return (docs.select("doc_id", "text").mapInArrow(_measure(model), MEASURES)
-            .select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"), "n_segments", "first", "last"))
+            .select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"), "passages",
+                    F.size("passages").alias("n_segments"), "first", "last"))
 
 
 def keep_clean(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:

@@ -9,11 +9,12 @@ import time
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from citystream.llm import (decontaminate, labelled, mainbody, mixing, neardup, neighbours, quality, queries, secrets, spans, suffixes,
-                            toxicity)
+                            toxicity, words)
 
 SF = "/root/testdata/sf0.01"
 
@@ -202,6 +203,42 @@ def test_segments_are_the_maximal_ones():
     assert toxicity.segments(np.array([], int), np.array([]), 0.5) == []
 
 
+def widest(scores, first=0):
+    """All maximal segments by definition: the best run, then those on either side of it; sums of all runs."""
+    sums = [(sum(scores[i:j]), i, j - 1) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+    best, i, j = max(sums, default=(0, 0, 0))
+    if best <= 0:
+        return []
+    return [*widest(scores[:i], first), (first + i, first + j, best), *widest(scores[j + 1:], first + j + 1)]
+
+
+def test_segments_equal_a_search_over_all_runs():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        places = np.flatnonzero(rng.random(n) < 0.4)
+        weights, drift = rng.uniform(0.05, 2, len(places)), rng.uniform(0.1, 0.8)
+        scores = np.full(n, -drift)
+        scores[places] += weights
+        want, got = widest(scores.tolist()), toxicity.segments(places, weights, drift)
+        assert [w[:2] for w in want] == [g[:2] for g in got] and np.allclose([w[2] for w in want], [g[2] for g in got])
+
+
+def test_all_significant_passages_are_returned(spark):
+    vile = [f"vile{i}" for i in range(6)]
+    splitter = words.Splitter(letters_only=True)
+    _, _, hashes, _ = splitter.split(*words.text_bytes(pa.array([" ".join(vile)])))
+    model = toxicity.Model(np.sort(hashes), np.full(6, 5.0), 0.5, 1.0, 0.1, 1.0, -3.0)
+    plain = " ".join(f"word{i}" for i in range(100))
+    texts = [(1, f"{plain} {' '.join(vile)} {plain} {' '.join(vile[:4])} {plain}"), (2, plain), (3, None), (4, " ".join(vile))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert [(p.first, p.last) for p in got[1].passages] == [(100, 105), (206, 209)] and got[1].n_segments == 2
+    assert [p.score for p in got[1].passages] == [27.0, 18.0] and (got[1].first, got[1].last) == (100, 105)
+    assert got[2].passages == got[3].passages == [] and got[4].passages[0][:2] == (0, 5)
+    assert got[2].score == got[3].score < got[4].score
+
+
 def test_mixing(spark):
     drawn = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"), most_repeats=2.0).toPandas()
     share = drawn.groupby("source").agg(words=("words", "sum"), weight=("weight", "first"))
