@@ -10,12 +10,14 @@ They are compared block by block of the orderings, each block keeps its best, an
 comparing them with every row, and ``reach`` is how near on their nearest curve ``RECALL`` of them
 are, plus a quarter. Data without structure thus get a long reach, and data with clusters a short one.
 
-Vectors that are null, zero, of another length than most, or hold a null, NaN or infinite component
-take no part. Ties go to the smaller id. A query with fewer candidates gets them all.
+Vectors that are null, zero, or hold a null, NaN or infinite component take no part. There is no cosine between
+vectors of different lengths: those of each length are searched by themselves. Ties go to the smaller id. A query with fewer candidates gets them all.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -64,13 +66,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _usable(vectors: DataFrame, dtype: str) -> tuple[DataFrame, int]:
+def _usable(vectors: DataFrame, dtype: str) -> DataFrame:
     e = F.col("embedding").cast(f"array<{dtype}>")
     fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("embedding", lambda v: v != 0)
-    rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("embedding"))
+    return (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("embedding"))
             .where("vec_id is not null and size(embedding) > 0").where(fine))
-    size = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return (rows.where(F.size("embedding") == size.n), size.n) if size else (rows, 0)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -78,14 +78,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     Queries must be rows of ``vectors``. Returns query_id, rank (from 1), vec_id, score.
     """
-    spark = vectors.sparkSession
-    out = "query_id long, rank int, vec_id long, score double"
     kind = vectors.schema["embedding"].dataType
     dtype, np_dtype = ("float", "<f4") if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else ("double", "<f8")
-    rows, size = _usable(vectors, dtype)
-    if not size:
-        return spark.createDataFrame([], out)
-    asked, _ = _usable(queries, dtype)
+    rows, asked = _usable(vectors, dtype), _usable(queries, dtype)
+    size = F.size("embedding")
+    lengths = sorted(r.n for r in asked.select(size.alias("n")).distinct().collect())   # of vectors: commonly one
+    found = [_nearest(rows.where(size == n), asked.where(size == n), n, np_dtype, k) for n in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, asked: DataFrame, size: int, np_dtype: str, k: int) -> DataFrame:
+    """The same for usable vectors of one length."""
     # the k + 1 smallest ids of each class: whichever is the query's own, k are left
     first = rows.withColumn("n", F.row_number().over(W.partitionBy("embedding").orderBy("vec_id"))).where(F.col("n") <= k + 1)
     classes = cut(first.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
@@ -144,13 +149,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         found = []
         for q, v in zip(left["q"].to_numpy(), x, strict=True):
             score = (y @ v) / (norm * np.sqrt((v * v).sum()))
-            if len(score) > k:
-                near = np.flatnonzero(score >= np.partition(score, -k)[-k] - 1e-12)
+            if len(score) > k + 1:      # the query's own class may be one of them
+                near = np.flatnonzero(score >= np.partition(score, -k - 1)[-k - 1] - 1e-12)
             else:
                 near = np.arange(len(score))
-            near = near[np.lexsort((rep[near], -score[near]))][:k + 3]
-            exact = np.array([float((y[i] * v).sum() / (norm[i] * np.sqrt((v * v).sum()))) for i in near])
-            found.append(pd.DataFrame({"q": q, "rep": rep[near], "score": exact}))
+            exact = (y[near] * v).sum(1) / (norm[near] * np.sqrt((v * v).sum()))
+            top = np.lexsort((rep[near], -exact))[:k + 1]
+            found.append(pd.DataFrame({"q": q, "rep": rep[near[top]], "score": exact[top]}))
         return pd.concat(found)
 
     hits = (spread.groupBy("curve", "block").cogroup(ranked.withColumn("block", block(F.col("place"))).groupBy("curve", "block"))

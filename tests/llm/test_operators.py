@@ -271,6 +271,22 @@ def test_neighbours_of_awkward_vectors(spark):
     assert neighbours.nearest(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_neighbours_among_vectors_of_their_own_length(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0]), (3, [-3.0]), (4, [1.0, 1.0, 1.0]), (5, [0.0, 1.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id) for r in neighbours.nearest(v, v).collect())
+    assert got == [(0, 1, 1), (0, 2, 5), (1, 1, 0), (1, 2, 5), (2, 1, 3), (3, 1, 2), (5, 1, 0), (5, 2, 1)]
+
+
+def test_many_multiples_of_one_vector_go_by_id(spark):
+    rng = np.random.default_rng(8)
+    one = rng.normal(size=16)
+    rows = [(1000 - i, (one * 2.0**(i % 60 - 30)).tolist()) for i in range(60)] + [(i, rng.normal(size=16).tolist()) for i in range(200)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(v, v.where("vec_id = 1000")).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == list(range(941, 946)) and got[0].score == got[4].score
+
+
 def test_secrets(spark):
     key = "q7Xv9Kp2Lm4Rt8Wz1Yc6Bn3Jd5Hf0GsAeUiOk"
     rows = [(1, f'password = "hunter22", API_KEY: abc {key}'), (2, "AKIA" + "A1" * 10 + " 0123456789abcdef01234567"), (3, None)]
