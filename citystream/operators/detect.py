@@ -86,8 +86,13 @@ def gridlock_alert_columns(df: DataFrame, limit: int = WAIT_LIMIT_SEC, cycles: i
 
 def gridlocks(signals: DataFrame, limit: int = WAIT_LIMIT_SEC, cycles: int = WAIT_CYCLES,
               cooldown_ms: int = WAIT_COOLDOWN_MS) -> DataFrame:
-    found = consecutive_above(gridlock_input(signals), ["junction_id"], "avg_wait_sec", "event_time", "offset",
-                              limit, cycles)
+    return gridlocks_in_order(gridlock_input(signals), limit, cycles, cooldown_ms)
+
+
+def gridlocks_in_order(rows: DataFrame, limit: int = WAIT_LIMIT_SEC, cycles: int = WAIT_CYCLES,
+                       cooldown_ms: int = WAIT_COOLDOWN_MS) -> DataFrame:
+    """The same over rows of ``gridlock_input``, which may come from an ordered store."""
+    found = consecutive_above(rows, ["junction_id"], "avg_wait_sec", "event_time", "offset", limit, cycles)
     kept = cooldown(cut(found), ["junction_id"], "event_time", "offset", cooldown_ms)
     return gridlock_alert_columns(kept, limit, cycles).select(*GRIDLOCK_ALERT, "event_time")
 

@@ -24,8 +24,11 @@ def in_slices(df: DataFrame, keys: Sequence[str], ts: str, seq: str, slice_ms: i
     """Adds ``_slice``, which rises along the order of each key.
 
     Slices are ranges of equal row counts, written once so that every reader sees the same cuts.
-    Rows known to be evenly spaced can be cut by time instead (``slice_ms``), without that step.
+    Rows known to be evenly spaced can be cut by time instead (``slice_ms``), without that step. Rows of an ordered
+    store have their slices already.
     """
+    if "_slice" in df.columns:
+        return df
     if slice_ms:
         return df.withColumn("_slice", time_slice(F.col(ts), slice_ms))
     return cut(df.repartitionByRange(*keys, ts, seq).withColumn("_slice", F.spark_partition_id()))
