@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from citystream.llm import (decontaminate, labelled, mainbody, mixing, neardup, neighbours, quality, queries, secrets, spans, suffixes,
@@ -337,6 +338,16 @@ def test_long_attributes_and_scripts_are_no_text():
     assert runs(page) == ["It is Ann's house.", "More"] and mainbody.Page(page).tags == ["html", "p", "p"]
 
 
+def test_sampled_pages_are_those_of_the_smallest_hashes(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    ids = lambda d: [r.page_id for r in d.collect()]
+    for most in (1, 20, 60, 1000):
+        assert ids(mainbody.sample(pages, most)) == ids(pages.orderBy(F.xxhash64("page_id"), "page_id").limit(most))
+    for page_id in ("null", "7"):
+        same = pages.selectExpr(f"cast({page_id} as long) as page_id", "url", "html")
+        assert mainbody.sample(same, 20).count() == 20
+
+
 def test_main_text_is_found_without_names(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     reader = mainbody.fit(pages)
