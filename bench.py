@@ -18,7 +18,7 @@ from citystream.plans import city
 HEADLINE = [
     "ward_energy", "ward_energy_lake", "ward_report_daily", "low_power_factor", "rolling_aqi",
     "health_advisories", "health_advisories_sql", "dlq_all", "dlq_report", "valid_bus_gps",
-    "route_enriched", "route_enriched_latest", "latest_bus_position", "aqi_emergency", "gridlock", "gridlock_stored",
+    "route_enriched", "route_enriched_latest", "latest_bus_position", "aqi_emergency", "gridlock", "gridlock_runs_stored",
     "bus_pair_distance", "bus_bunching", "incidents", "signal_feed_high", "decode_event_time", "retained_bus_gps",
     "ward_energy_stream_update", "ward_energy_stream_append", "health_advisories_stream", "dlq_stream",
     "route_enriched_stream", "aqi_emergency_stream", "gridlock_stream", "bus_bunching_stream",

@@ -315,7 +315,7 @@ qualify row_number() over (partition by route_id, bus_id order by event_time des
     "aqi_emergency": _AQI,
     "aqi_emergency_stream": _AQI,
     "gridlock": _GRID,
-    "gridlock_stored": _GRID,
+    "gridlock_runs_stored": _with("signals", _GRID_SELECT.replace("grid_kept join stuck using (junction_id, event_time)", "stuck"), *_GRID_CTES[:2]),
     "gridlock_stream": _GRID,
     "bus_pair_distance": _with("gps", """select route_id, bus_1, bus_2, event_time, "offset", other_timestamp,
   round(distance_m, 2) as distance_m from apart where distance_m < 200""", *_PAIR_CTES),

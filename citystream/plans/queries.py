@@ -343,9 +343,11 @@ def _signal_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered_store.write(rows, scratch(spark, "signals-in-order"), ["junction_id"], "event_time", "offset")
 
 
-def gridlock_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signals kept in order on disk; the rule reads them without a shuffle or a sort."""
-    return _gridlock_result(detect.gridlocks_in_order(_signal_store(spark, sf_dir)))
+def gridlock_runs_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All runs of long waits, before alerts are thinned, of signals kept in order on disk; read without a shuffle or a sort."""
+    runs = detect.consecutive_above(_signal_store(spark, sf_dir), ["junction_id"], "avg_wait_sec", "event_time", "offset",
+                                    detect.WAIT_LIMIT_SEC, detect.WAIT_CYCLES)
+    return _gridlock_result(detect.gridlock_alert_columns(runs))
 
 
 def bus_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,7 +429,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "aqi_emergency": aqi_emergency,
     "aqi_emergency_stream": aqi_emergency_stream,
     "gridlock": gridlock,
-    "gridlock_stored": gridlock_stored,
+    "gridlock_runs_stored": gridlock_runs_stored,
     "gridlock_stream": gridlock_stream,
     "bus_pair_distance": bus_pair_distance,
     "bus_bunching": bus_bunching,
