@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from citystream.sources import files
+
+# Scratch paths made inside a ``removed_after``; each thread has its own, so a micro-batch's are not taken for the caller's.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def build(app: str = "citystream", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every transformation here relies on.
@@ -51,16 +59,38 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def removed_after(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what ``scratch`` and ``cut`` placed in the shared folder inside.
+
+    For steps that end with a written result: its path is made before, and frames that read the steps' tables are
+    of no use afterwards. Scopes nest; each removes what was made directly in it.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            files.remove(spark, path)
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder once, so several consumers do not recompute it.
 
-    Parquet with the frame's own columns; a lost executor costs nothing, since the table stays.
+    Parquet with the frame's own columns; a lost executor costs nothing, since the table stays. ``path`` is a fresh one
+    of ``scratch``, for a table that has to outlive the ``removed_after`` it is written in.
     """
     spark = df.sparkSession
-    path = scratch(spark, "cut")
+    path = path or scratch(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
