@@ -4,12 +4,14 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere
 document or another. Only strings of that length or more matter, so the index holds few suffixes:
 every string of LENGTH bytes is represented by its anchor, the one of its ``GRAM``-byte substrings with the
 smallest 64-bit hash, and neighbouring strings mostly share theirs. Equal strings have equal
-anchors. An anchored suffix stands in the index by the fingerprint of its first GRAM bytes. There is no sorted suffix
-array: a level is an unordered table of fingerprints with counts, and a scan against it is an equality join.
+anchors. An anchored suffix stands in the index by the fingerprint of its first GRAM bytes, and its place in the order of
+suffixes is that of the fingerprint: suffixes that begin alike are neighbours, and only that is asked of the order.
 
-``Levels`` is the index family. A new batch gets its own table, is looked up in every level, and then
-takes part in the geometric merging: equal-sized levels become one of the next size, so n batches
-are in at most log2(n) + 1 levels and an entry is moved log2(n) times.
+``Levels`` is the index family. A level is a sorted array on disk: dealt to buckets by fingerprint, a file a bucket, each in
+order. A new batch gets its own, is merge-scanned against every level bucket by bucket (neither side is shuffled or
+sorted again), and then takes part in the geometric merging: two levels of a size are merged, in order, into one of
+the next, so n batches are in at most log2(n) + 1 levels and an entry is moved log2(n) times. Levels and the tables of
+finished steps are removed as soon as nothing reads them.
 
 Matching fingerprints are candidates. They are made exact by hashes (128 bits) of whole strings:
 
@@ -25,8 +27,10 @@ Null and empty texts have no bytes. Rows may repeat (also their ids): every row
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +38,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.llm.words import BLOCK, FACTOR, mix, powers, slices, text_bytes
-from citystream.session import cut, release_shuffles, scratch
+from citystream.session import cut, removed_after, scratch
 
 LENGTH, GRAM, BATCHES = 400, 300, 4
+BUCKET_BYTES = 256 << 20    # of text to a bucket, if the session's shuffle partitions would make them larger
 NEIGHBOURS = LENGTH - GRAM + 1
 FACTORS = (FACTOR, 0xD1342543DE82EF95)
 
@@ -118,11 +123,51 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("uid"), marks], names=["uid", "mark"])
 
 
+@contextmanager
+def _settings(spark: SparkSession, **settings: str) -> Iterator[None]:
+    names = {key.replace("__", "."): value for key, value in settings.items()}
+    before = {key: spark.conf.get(key, None) for key in names}
+    for key, value in names.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of steps whose result is written.
+
+    Spark deletes them once the driver has collected the plans they belong to, which on a quiet driver may
+    take half an hour; a job of many large steps would hold all of them until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def buckets(docs: DataFrame) -> int:
+    """The session's shuffle partitions, or more where a bucket would hold over BUCKET_BYTES of text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
 class Levels:
-    """The index family over ``mark``, the fingerprints of anchored suffixes."""
+    """The index family over ``mark``, the fingerprints of anchored suffixes.
+
+    Used with as many shuffle partitions as ``n`` buckets, so that a bucket is written by one task as one file.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, spark: SparkSession, n: int) -> None:
+        self.spark, self.n = spark, n
         self.levels: dict[int, list[DataFrame]] = {}
+        self.names: list[str] = []
+
+    def _array(self, marks: DataFrame) -> DataFrame:
+        name = f"marks_{uuid.uuid4().hex}"
+        marks.write.bucketBy(self.n, "mark").sortBy("mark").option("path", scratch(self.spark, "marks")).saveAsTable(name)
+        self.names.append(name)
+        return self.spark.table(name)
 
     def _merge(self) -> None:
         """Two arrays of a size become one of the next; done when the next batch comes, so the last merge is never in vain."""
@@ -130,22 +175,46 @@ class Levels:
         while size <= max(self.levels, default=-1):
             if len(self.levels.get(size, [])) == 2:
                 one, other = self.levels.pop(size)
-                self.levels.setdefault(size + 1, []).append(cut(one.union(other).distinct()))
+                self.levels.setdefault(size + 1, []).append(self._array(one.hint("merge").join(other, "mark", "full")))
             size += 1
 
+    def scans(self, array: DataFrame) -> list[DataFrame]:
+        """The marks of ``array`` that each level holds."""
+        return [array.select("mark").join(level.hint("merge"), "mark", "left_semi") for same in self.levels.values() for level in same]
+
     def insert(self, suffixes: DataFrame) -> DataFrame:
         """Takes in a batch (mark, a row per suffix) and returns the marks now known to occur again.
 
         A mark is returned if the batch holds it twice or a level holds it.
         """
         self._merge()
-        array = cut(suffixes.groupBy("mark").agg(F.count("*").alias("n")))
+        array = self._array(suffixes.groupBy("mark").agg(F.count("*").alias("n")))
         again = array.where("n > 1").select("mark")
-        for level in [x for level in self.levels.values() for x in level]:
-            again = again.union(array.select("mark").join(level, "mark"))
+        for found in self.scans(array):
+            again = again.union(found)
         self.levels.setdefault(0, []).append(array.select("mark"))
         return cut(again.distinct())
 
+    def close(self) -> None:
+        """Forgets the arrays; their files are scratch."""
+        for name in self.names:
+            self.spark.sql(f"drop table {name}")
+
+
+def _repeated(suffixes: DataFrame, n: int, path: str) -> DataFrame:
+    """Per uid the marks of its suffixes that occur again (``again``), written to ``path``. ``suffixes`` is (uid, mark array)."""
+    spark = suffixes.sparkSession
+    index, repeated = Levels(spark, n), None
+    for batch in range(BATCHES):
+        marks = suffixes.where(F.pmod(F.xxhash64("uid"), F.lit(BATCHES)) == batch).select(F.explode("mark").alias("mark"))
+        again = index.insert(marks)
+        repeated = again if repeated is None else repeated.union(again)
+        release_shuffles(spark)
+    again = cut(suffixes.select("uid", F.explode("mark").alias("mark")).join(repeated.distinct(), "mark", "left_semi")
+                .groupBy("uid").agg(F.collect_list("mark").alias("again")), path)
+    index.close()
+    return again
+
 
 KEYS = "uid long, first int, last int, mark long, h long, g long"
 
@@ -215,36 +284,35 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept (bytes) and removed (start, end)."""
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets(docs)
     # rows get ids of their own and lie in buckets, so that later joins move lists and never texts
     name, path = f"texts_{uuid.uuid4().hex}", scratch(spark, "texts")
-    (docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text").repartition(n, "uid")
-     .write.bucketBy(n, "uid").option("path", path).option("compression", "zstd").saveAsTable(name))
-    texts = spark.table(name)
-    release_shuffles(spark)
-    suffixes = cut(texts.select("uid", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(
-        _anchor_rows, "uid long, mark array<long>"))
-    index, repeated = Levels(), None
-    for batch in range(BATCHES):
-        marks = suffixes.where(F.pmod(F.xxhash64("uid"), F.lit(BATCHES)) == batch).select(F.explode("mark").alias("mark"))
-        again = index.insert(marks)
-        repeated = again if repeated is None else repeated.union(again)
+    at = {label: scratch(spark, label) for label in ("settled", "strings")}
+    with (_settings(spark, spark__sql__shuffle__partitions=str(n), spark__sql__legacy__bucketedTableScan__outputOrdering="true"),
+          removed_after(spark)):
+        (docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text").repartition(n, "uid")
+         .write.bucketBy(n, "uid").option("path", path).option("compression", "zstd").saveAsTable(name))
+        texts = spark.table(name)
         release_shuffles(spark)
-    again = cut(suffixes.select("uid", F.explode("mark").alias("mark")).join(repeated.distinct(), "mark", "left_semi")
-                .groupBy("uid").agg(F.collect_list("mark").alias("again")))
-    part = texts.select("uid", "text")
-    with_again = part.join(again.hint("shuffle_hash"), "uid")
-    compared = cut(with_again.mapInArrow(_keys("runs"), KEYS))
-    equal = cut(compared.groupBy("h", "g").agg(
-        F.count("*").alias("n"), F.min(F.struct("uid", "first", "last", "mark")).alias("one")).where("n > 1"))
-    settled = cut(_spans(compared.join(equal.select("h", "g"), ["h", "g"], "left_semi")))
-    release_shuffles(spark)
-    edges = cut(with_again.join(settled.hint("shuffle_hash"), "uid", "left").mapInArrow(_keys("edges"), KEYS)
-                .drop("last"))
-    spelled = equal.select("one.*").join(edges.select("mark").distinct(), "mark", "left_semi")
-    inside = part.join(_spans(spelled).hint("shuffle_hash"), "uid").mapInArrow(_keys("spans"), KEYS)
-    twice = edges.select("h", "g").unionAll(inside.select("h", "g")).groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1")
-    strings = cut(_spans(edges.withColumn("last", F.col("first")).join(twice.select("h", "g"), ["h", "g"], "left_semi")))
+        again = scratch(spark, "again")
+        with removed_after(spark):
+            suffixes = cut(texts.select("uid", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(
+                _anchor_rows, "uid long, mark array<long>"))
+            again = _repeated(suffixes, n, again)
+        release_shuffles(spark)
+        part = texts.select("uid", "text")
+        with_again = part.join(again.hint("shuffle_hash"), "uid")
+        compared = cut(with_again.mapInArrow(_keys("runs"), KEYS))
+        equal = cut(compared.groupBy("h", "g").agg(
+            F.count("*").alias("n"), F.min(F.struct("uid", "first", "last", "mark")).alias("one")).where("n > 1"))
+        settled = cut(_spans(compared.join(equal.select("h", "g"), ["h", "g"], "left_semi")), at["settled"])
+        release_shuffles(spark)
+        edges = cut(with_again.join(settled.hint("shuffle_hash"), "uid", "left").mapInArrow(_keys("edges"), KEYS)
+                    .drop("last"))
+        spelled = equal.select("one.*").join(edges.select("mark").distinct(), "mark", "left_semi")
+        inside = part.join(_spans(spelled).hint("shuffle_hash"), "uid").mapInArrow(_keys("spans"), KEYS)
+        twice = edges.select("h", "g").unionAll(inside.select("h", "g")).groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1")
+        strings = cut(_spans(edges.withColumn("last", F.col("first")).join(twice.select("h", "g"), ["h", "g"], "left_semi")), at["strings"])
     result = (texts.join(settled.withColumnRenamed("spans", "a").hint("shuffle_hash"), "uid", "left")
               .join(strings.withColumnRenamed("spans", "b").hint("shuffle_hash"), "uid", "left").select("doc_id", "text", "a", "b")
               .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, removed array<struct<start:int,end:int>>"))
