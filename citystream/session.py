@@ -93,15 +93,3 @@ def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets go of the shuffle files of steps whose result is written.
-
-    Spark deletes them once the driver has collected the plans they belong to, which on a quiet driver may
-    take half an hour; a job of many large steps would hold all of them until then.
-    """
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
