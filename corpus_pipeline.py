@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps, all columns of ``documents``; the last
 adds the drawing's columns. ``run`` writes every stage to the shared folder and reads it again, so a
-lost executor costs a stage at most.
+lost executor costs a stage at most. What a stage wrote on its way is removed behind it, all but the result at the end.
 
 Null and empty texts pass: they are not toxic, stand alone among duplicates, contain no passage or
 secret, and cost the mix nothing. Rows without a doc_id go through every stage but stand alone among
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from citystream.llm import decontaminate, mixing, neardup, secrets, toxicity
-from citystream.session import cut
+from citystream.session import cut, removed_after, scratch
 
 ORACLE_SQL = None  # trained and hash-seeded stages have no SQL form; tests/llm compares with brute force
 
@@ -57,7 +57,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir))
+    docs, done = spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch(spark, "mixed")
+    with removed_after(spark):
+        for name, stage in STAGES:
+            path = done if name == STAGES[-1][0] else scratch(spark, name)
+            with removed_after(spark):
+                docs = cut(stage(spark, docs, sf_dir), path)
     return docs
