@@ -21,7 +21,8 @@ Matching fingerprints are candidates. They are made exact by hashes (128 bits) o
 3. what is left, at the edges of shared passages, is compared string by string, also with one
    copy of each settled run that has the same anchor.
 
-Counting is by key with map-side sums, so a passage in a third of all documents is one key with a count.
+Counting is by key with map-side sums, so a passage in a third of all documents is one key with a count; the rows that hold
+such a key learn that it repeats from a broadcast of the few keys that common (``hot.lookup``), not in the key's task.
 Null and empty texts have no bytes. Rows may repeat (also their ids): every row is a document.
 """
 
@@ -37,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citystream.llm.hot import lookup
 from citystream.llm.words import BLOCK, FACTOR, mix, powers, slices, text_bytes
 from citystream.session import cut, removed_after, scratch
 
@@ -179,17 +181,17 @@ class Levels:
             size += 1
 
     def scans(self, array: DataFrame) -> list[DataFrame]:
-        """The marks of ``array`` that each level holds."""
-        return [array.select("mark").join(level.hint("merge"), "mark", "left_semi") for same in self.levels.values() for level in same]
+        """The rows of ``array`` whose mark each level holds."""
+        return [array.join(level.hint("merge"), "mark", "left_semi") for same in self.levels.values() for level in same]
 
     def insert(self, suffixes: DataFrame) -> DataFrame:
         """Takes in a batch (mark, a row per suffix) and returns the marks now known to occur again.
 
-        A mark is returned if the batch holds it twice or a level holds it.
+        A mark is returned, with its count ``n`` in the batch, if the batch holds it twice or a level holds it.
         """
         self._merge()
         array = self._array(suffixes.groupBy("mark").agg(F.count("*").alias("n")))
-        again = array.where("n > 1").select("mark")
+        again = array.where("n > 1")
         for found in self.scans(array):
             again = again.union(found)
         self.levels.setdefault(0, []).append(array.select("mark"))
@@ -208,14 +210,25 @@ def _repeated(suffixes: DataFrame, n: int, path: str) -> DataFrame:
     for batch in range(BATCHES):
         marks = suffixes.where(F.pmod(F.xxhash64("uid"), F.lit(BATCHES)) == batch).select(F.explode("mark").alias("mark"))
         again = index.insert(marks)
-        repeated = again if repeated is None else repeated.union(again)
+        repeated = again if repeated is None else repeated.unionAll(again)
         release_shuffles(spark)
-    again = cut(suffixes.select("uid", F.explode("mark").alias("mark")).join(repeated.distinct(), "mark", "left_semi")
+    # counts lack one at most for each batch
+    known = cut(repeated.groupBy("mark").agg(F.sum("n").alias("n")))
+    total = suffixes.agg(F.sum(F.size("mark"))).first()[0] or 0
+    again = cut(lookup(suffixes.select("uid", F.explode("mark").alias("mark")), known, ["mark"], "n", total)
                 .groupBy("uid").agg(F.collect_list("mark").alias("again")), path)
     index.close()
     return again
 
 
+def _numbers(column: pa.Array, k: int, field: str | None = None) -> np.ndarray:
+    """The list of row ``k`` as an array, or one field of its structs; none for a null list."""
+    values = column[k].values
+    if values is None:
+        return np.zeros(0, np.int64)
+    return (values if field is None else values.field(field)).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 KEYS = "uid long, first int, last int, mark long, h long, g long"
 
 
@@ -233,11 +246,11 @@ def _keys(of: str):
                     text = data[offsets[k]:offsets[k + 1]]
                     first, last, mark = runs(text, hashers[0])
                     if of == "spans":
-                        use = np.isin(first, [s["first"] for s in spans[k].as_py()])
+                        use = np.isin(first, _numbers(spans, k, "first"))
                     else:
-                        use = np.isin(mark, np.array(again[k].as_py(), np.int64).view(np.uint64))
+                        use = np.isin(mark, _numbers(again, k).view(np.uint64))
                         if of == "edges":
-                            use &= ~np.isin(first, [s["first"] for s in spans[k].as_py() or []])
+                            use &= ~np.isin(first, _numbers(spans, k, "first"))
                     first, last, mark = first[use], last[use], mark[use]
                     if of != "runs":
                         size = last - first + 1
@@ -264,12 +277,12 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list] = [[], [], [], [], []]
         for k in range(part.num_rows):
             text = data[offsets[k]:offsets[k + 1]]
-            spans = [*(part.column("a")[k].as_py() or []), *(part.column("b")[k].as_py() or [])]
+            first, last = (np.concatenate([_numbers(part.column(c), k, f) for c in "ab"]) for f in ("first", "last"))
             kept, runs = text, []
-            if spans:
+            if len(first):
                 change = np.zeros(len(text) + 1, np.int32)
-                np.add.at(change, [s["first"] for s in spans], 1)
-                np.add.at(change, [s["last"] + LENGTH for s in spans], -1)
+                np.add.at(change, first, 1)
+                np.add.at(change, last + LENGTH, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
                 runs = [{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)]
@@ -305,14 +318,17 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         compared = cut(with_again.mapInArrow(_keys("runs"), KEYS))
         equal = cut(compared.groupBy("h", "g").agg(
             F.count("*").alias("n"), F.min(F.struct("uid", "first", "last", "mark")).alias("one")).where("n > 1"))
-        settled = cut(_spans(compared.join(equal.select("h", "g"), ["h", "g"], "left_semi")), at["settled"])
+        settled = cut(_spans(lookup(compared, equal.select("h", "g", "n"), ["h", "g"], "n", compared.count())), at["settled"])
         release_shuffles(spark)
         edges = cut(with_again.join(settled.hint("shuffle_hash"), "uid", "left").mapInArrow(_keys("edges"), KEYS)
                     .drop("last"))
-        spelled = equal.select("one.*").join(edges.select("mark").distinct(), "mark", "left_semi")
+        meant = cut(equal.groupBy("one.mark").agg(F.count("*").alias("n")).join(edges.select("mark").distinct(), "mark", "left_semi"))
+        spelled = lookup(equal.select("one.*"), meant, ["mark"], "n", equal.count())
         inside = part.join(_spans(spelled).hint("shuffle_hash"), "uid").mapInArrow(_keys("spans"), KEYS)
-        twice = edges.select("h", "g").unionAll(inside.select("h", "g")).groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1")
-        strings = cut(_spans(edges.withColumn("last", F.col("first")).join(twice.select("h", "g"), ["h", "g"], "left_semi")), at["strings"])
+        twice = cut(edges.select("h", "g", F.lit(1).alias("own")).unionAll(inside.select("h", "g", F.lit(0).alias("own")))
+                    .groupBy("h", "g").agg(F.count("*").alias("n"), F.sum("own").alias("own")).where("n > 1"))
+        strings = cut(_spans(lookup(edges.withColumn("last", F.col("first")), twice.select("h", "g", F.col("own").alias("n")), ["h", "g"], "n",
+                                    edges.count())), at["strings"])
     result = (texts.join(settled.withColumnRenamed("spans", "a").hint("shuffle_hash"), "uid", "left")
               .join(strings.withColumnRenamed("spans", "b").hint("shuffle_hash"), "uid", "left").select("doc_id", "text", "a", "b")
               .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, removed array<struct<start:int,end:int>>"))

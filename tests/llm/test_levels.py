@@ -33,7 +33,7 @@ def test_marks_that_occur_again_are_those_of_a_plain_count(spark, index):
     for row, frame in zip(rows, frames, strict=True):
         own = collections.Counter(row)
         want = {x for x in own if own[x] > 1 or seen[x]}
-        assert {r.mark for r in index.insert(frame).collect()} == want
+        assert {(r.mark, r.n) for r in index.insert(frame).collect()} == {(x, own[x]) for x in want}
         seen += own
     sizes = {size: len(same) for size, same in index.levels.items() if same}
     assert sizes == {0: 1, 1: 1, 2: 1}     # 7 = 4 + 2 + 1
@@ -82,3 +82,23 @@ def test_buckets_follow_the_bytes_of_the_texts(spark, monkeypatch):
     assert suffixes.buckets(docs) == 4 and suffixes.buckets(docs.limit(0)) == 4
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", 5_000)
     assert suffixes.buckets(docs) == 10
+
+
+def test_a_passage_in_many_texts_is_looked_up_where_its_rows_are(spark, monkeypatch):
+    from citystream.llm import hot
+    monkeypatch.setattr(hot, "ALWAYS_COLD", 5)
+    monkeypatch.setattr(hot, "MOST_HOT", 50)
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    common, rare = word(900), word(700)
+    texts = [word(40) + common + word(450) for _ in range(60)] + [word(500) for _ in range(40)] + [rare, word(3) + rare, "a" * 3000, None, ""]
+    rows = list(enumerate(texts))
+    got = suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    count = collections.Counter(t[i:i + 400] for _, t in rows if t for i in range(len(t) - 399))
+    for r in got:
+        text = texts[r.doc_id] or ""
+        gone = np.zeros(len(text), bool)
+        for i in range(len(text) - 399):
+            if count[text[i:i + 400]] > 1:
+                gone[i:i + 400] = True
+        assert (r.n_bytes, r.n_removed) == (len(text), gone.sum())
