@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citystream.llm.words import slices
 from citystream.session import cut
 
 # Shapes and least lengths that results are defined by.
@@ -159,7 +160,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     patterns = compiled()
     tests_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("encoding", pa.string()),
                                      ("length", pa.int32()), ("bin", pa.int32()), ("p", pa.float64())]))
-    for batch in batches:
+    for batch in slices(batches, "text"):
         columns: list[list] = [[] for _ in range(6)]
         for text in batch.column("text").to_pylist():
             text = text or ""
@@ -237,31 +238,43 @@ def _replaced(text: str, edges: list[tuple[int, int]], mask: str) -> str:
     return "".join(out) + text[at:]
 
 
+def _with_texts(batch: pa.RecordBatch, changed: dict[int, str]) -> pa.RecordBatch:
+    """The batch with the texts of some rows changed, and their n_chars."""
+    if not changed:
+        return batch
+    columns = list(batch.columns)
+    for name, of in (("text", lambda text: text), ("n_chars", len)):
+        if name in batch.schema.names:
+            at = batch.schema.get_field_index(name)
+            values = columns[at].to_pylist()
+            for k, text in changed.items():
+                values[k] = of(text)
+            columns[at] = pa.array(values, batch.schema.field(at).type)
+    return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+
 def without_secrets(docs: DataFrame, rate: float = RATE, mask: str = "[SECRET]") -> DataFrame:
-    """``docs``, all columns, with every secret replaced and n_chars following the text.
+    """``docs``, all columns, with every secret replaced; n_chars, where there is such a column, follows the text.
 
     Two scans, one for the thresholds and one that masks each row's own text where it is: nothing is
     joined, so rows without an id or with a repeated one are masked like any others. Overlapping spans
     become one mask; only rows with spans are changed.
     """
     limits = _limits(docs.select("doc_id", "text").mapInArrow(_scan, SCAN), rate)
-    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = compiled()
-        for batch in batches:
-            texts, counts = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
-            for k, text in enumerate(texts):
+        for batch in slices(batches, "text"):
+            changed = {}
+            for k, text in enumerate(batch.column("text").to_pylist()):
                 if text:
                     found = spans_of(text, patterns)
                     edges = [(s, e) for s, e, _ in found] + [
                         (s, e) for s, e, name, length, p in tests_of(text, found, patterns["run"])
                         if bin_of(p) >= limits.get((name, length), BINS)]
                     if edges:
-                        texts[k] = _replaced(text, edges, mask)
-                        counts[k] = len(texts[k])
-            new = {c: pa.array(v, batch.schema.field(c).type) for c, v in (("text", texts), ("n_chars", counts))}
-            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in names], names=names)
+                        changed[k] = _replaced(text, edges, mask)
+            yield _with_texts(batch, changed)
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -273,17 +286,12 @@ def masked(docs: DataFrame, found: DataFrame, mask: str = "[SECRET]") -> DataFra
     """
     spans = cut(found.where("spans <> ''").groupBy(F.col("doc_id").alias("_id")).agg(F.first("spans").alias("_spans")))
 
-    names = docs.columns
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, counts = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
-            for k, listed in enumerate(batch.column("_spans").to_pylist()):
-                if listed and texts[k]:
-                    texts[k] = _replaced(texts[k], [tuple(map(int, s.split(":")[1:])) for s in listed.split(",")], mask)
-                    counts[k] = len(texts[k])
-            new = {"text": pa.array(texts, batch.schema.field("text").type), "n_chars": pa.array(counts, batch.schema.field("n_chars").type)}
-            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in names], names=names)
+        for batch in slices(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            changed = {k: _replaced(texts[k], [tuple(map(int, s.split(":")[1:])) for s in listed.split(",")], mask)
+                       for k, listed in enumerate(batch.column("_spans").to_pylist()) if listed and texts[k]}
+            yield _with_texts(batch.drop_columns(["_spans"]), changed)
 
     joined = docs.join(spans, F.col("doc_id") == F.col("_id"), "left").drop("_id")
     return joined.mapInArrow(run, docs.schema)
