@@ -81,7 +81,7 @@ def _report(period: str):
 
 
 def low_power_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = detect.low_power_factor(_summary(spark, sf_dir), energy.POWER_FACTOR_FLOOR, 3)
+    found = detect.low_power_factor(_summary(spark, sf_dir, exact=True), energy.POWER_FACTOR_FLOOR, 3)
     return _rounded(found, AVG_DP, "avg_power_factor")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from citystream import schemas
 from citystream.functions import levels, times
 from citystream.functions.json_rows import compact_json, full_json
-from citystream.operators import advisory, decode, energy, enrich, feed, latest, quality, retention
+from citystream.operators import advisory, decode, detect, energy, enrich, feed, latest, quality, retention
 from citystream.sources import streams, tables
 
 RAW = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
@@ -191,6 +191,20 @@ def test_ward_summary_and_reports(spark, tmp_path):
         "ward_id", "window_start", "window_end", "total_kwh_consumed", "peak_voltage"}
 
 
+def test_mean_of_decimal_readings_is_exact(spark):
+    """Readings of 0.85 in the mean are not below 0.85, though their doubles add up to a little less."""
+    rows = [("W01", 900 * w + i, 1.0, p, 230.0) for w in range(3) for i, p in enumerate([.938, .741, .989, .732])]
+    rows += [("W02", 900 * w + i, 1.0, p, 230.0) for w in range(3) for i, p in enumerate([.938, .741, .989, .731])]
+    rows += [("W03", 0, 1.0, p, 230.0) for p in (.8, float("inf"))] + [("W04", 0, 1.0, None, 230.0)]
+    readings = meters(spark, rows).coalesce(1)
+    summary = energy.ward_summary(readings, exact=True)
+    assert {(r.ward_id, r.avg_power_factor) for r in summary.collect()} == {
+        ("W01", .85), ("W02", .84975), ("W03", float("inf")), ("W04", None)}
+    assert [r.ward_id for r in detect.low_power_factor(summary, .85, 3).collect()] == ["W02"]
+    plain = energy.ward_summary(readings)
+    assert [r.ward_id for r in detect.low_power_factor(plain.where("ward_id = 'W01'"), .85, 3).collect()] == ["W01"]
+
+
 def test_panes_equal_sliding_windows(spark):
     df = frame(spark, [("N" if i % 3 else None, at(i * 37), float(i * 7 % 300), float(i) if i % 5 else None, None)
                        for i in range(200)], "zone string, event_time timestamp, aqi double, pm25 double, pm10 double")
