@@ -109,15 +109,21 @@ def ward_energy_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return energy.summary_records(df.withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")}))
 
 
-def route_schedule_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A timetable kept as CSV: the first and the last version of every route, of which the last line counts."""
+def timetable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first and the last version of every route, a line each; of two lines of a route the last counts."""
     changes = city.schedule_changes(city.events(spark, sf_dir)).select("route_id", *enrich.ADDED, "offset")
     newest = enrich.current_schedule(changes)
     oldest = latest_by_key(changes.withColumn("_back", -F.col("offset")), ["route_id"], ["_back"], unique=True).select(*newest.columns)
+    # a small reference table: two lines a route, in one file, where the order of lines has a meaning; only these lines go
+    # to one task, the changes they are chosen from are read by all
+    return (oldest.withColumn("line", F.lit(0)).unionByName(newest.withColumn("line", F.lit(1))).repartition(1).sortWithinPartitions("line")
+            .select("route_id", *enrich.ADDED))
+
+
+def route_schedule_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A timetable kept as CSV: the first and the last version of every route, of which the last line counts."""
     path = scratch(spark, "timetable")
-    # a small reference table: two lines a route, in one file, where the order of lines has a meaning
-    (oldest.withColumn("line", F.lit(0)).unionByName(newest.withColumn("line", F.lit(1))).coalesce(1).sortWithinPartitions("line")
-     .select("route_id", *enrich.ADDED).write.option("header", "true").csv(path))
+    timetable_lines(spark, sf_dir).write.option("header", "true").csv(path)
     return tables.route_schedule(spark, path)
 
 
