@@ -228,12 +228,12 @@ def _late(topic: str):
 
 
 def signal_lanes_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two readers of one topic: one takes all there is at once, one a file at a time; how far each is behind after each batch."""
-    path = replay.written(city.traffic_signals(city.events(spark, sf_dir)), "traffic_signals", 4, F.col("event_id") * 10)
+    """Two readers of one topic: one takes all there is at once, one a stretch at a time; how far each is behind after each batch."""
+    path, n = replay.written(city.traffic_signals(city.events(spark, sf_dir)), "traffic_signals", 4, F.col("event_id") * 10)
     total = city.events(spark, sf_dir).count()
     out, rows = scratch(spark, "lanes"), []
     queries = {lane: lanes.start_lane(streams.from_files(spark, path, max_files=limit), lane, f"{out}/{lane}", f"{out}/checkpoint-{lane}", NOW)
-               for lane, limit in ((lanes.HIGH, None), (lanes.STANDARD, 1))}
+               for lane, limit in ((lanes.HIGH, None), (lanes.STANDARD, n))}
     for lane, query in queries.items():
         query.awaitTermination()
         rows += lanes.lag(lane, query, total)
