@@ -6,6 +6,7 @@ is arrival, as in any stream. The batch size is bounded by the source's rate lim
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -19,6 +20,9 @@ from citystream.functions.geo import EARTH_RADIUS_M
 from citystream.functions.times import epoch_ms
 from citystream.operators import detect, proximity
 
+NOT_NEAR = np.iinfo("int64").min
+
+
 def _in_order(batches: Iterable[pd.DataFrame]) -> pd.DataFrame:
     rows = pd.concat(list(batches), ignore_index=True)
     return rows.sort_values(["ms", "offset"], kind="stable", ignore_index=True)
@@ -89,13 +93,62 @@ def gridlocks(signals: DataFrame, limit: int = detect.WAIT_LIMIT_SEC, cycles: in
     return detect.gridlock_alert_columns(kept, limit, cycles).select(*detect.GRIDLOCK_ALERT)
 
 
-def _distances(lat: float, lon: float, lats: np.ndarray, lons: np.ndarray) -> np.ndarray:
+def _distances(lat: np.ndarray, lon: np.ndarray, lats: np.ndarray, lons: np.ndarray) -> np.ndarray:
     half_lat = np.sin(np.radians(lats - lat) / 2)
     half_lon = np.sin(np.radians(lons - lon) / 2)
     a = half_lat * half_lat + np.cos(np.radians(lat)) * np.cos(np.radians(lats)) * half_lon * half_lon
     return np.arctan2(np.sqrt(a), np.sqrt(1 - a)) * (2.0 * EARTH_RADIUS_M)
 
 
+#: Reports times vehicles that are looked at together.
+CELLS = 1 << 20
+
+
+def _bunched(me: np.ndarray, x: np.ndarray, y: np.ndarray, ms: np.ndarray, lat: np.ndarray, lon: np.ndarray, near: dict, told: dict,
+             near_m: float, near_for_ms: int, cooldown_ms: int) -> tuple[np.ndarray, ...]:
+    """The alerts of some reports in order: report, vehicle, other vehicle, metres and how long near, an array each.
+
+    ``lat`` and ``lon`` hold the last position of every vehicle (NaN: none yet), ``near`` since when pairs are near and
+    ``told`` the last alerts of pairs; all are brought up to date.
+    """
+    n, k = np.arange(len(me)), len(lat)
+    last = np.full((len(me) + 1, k), -1)    # of every vehicle the last report before each one
+    last[n + 1, me] = n
+    last = np.maximum.accumulate(last, axis=0)
+    before, seen = last[:-1], last[-1]
+    metres = _distances(x[:, None], y[:, None], np.where(before < 0, lat, x[before]), np.where(before < 0, lon, y[before]))
+    metres[n, me] = np.nan
+    at, other = np.nonzero(metres < near_m)
+    pair = np.minimum(me[at], other) * k + np.maximum(me[at], other)
+    order = np.lexsort((at, pair))
+    at, other, pair = at[order], other[order], pair[order]
+    # a contact goes on with a run if the pair's report before it was a contact too, here or before these reports
+    previous = np.maximum(before[at, me[at]], before[at, other])
+    same = np.append(False, (pair[1:] == pair[:-1]) & (at[:-1] == previous[1:])) if len(at) else np.zeros(0, bool)
+    since = np.array([near.get(p, NOT_NEAR) if b < 0 else NOT_NEAR for p, b in zip(pair[~same].tolist(), previous[~same].tolist())], "int64")
+    goes_on = same.copy()
+    goes_on[~same] = since != NOT_NEAR
+    since = np.where(since == NOT_NEAR, ms[at[~same]], since)[np.cumsum(~same) - 1]
+    lasted = ms[at] - since
+    found, kept = np.flatnonzero(goes_on & (lasted >= near_for_ms)), []
+    for own in np.split(found, np.flatnonzero(np.diff(pair[found])) + 1) if len(found) else []:
+        p, times, rows = int(pair[own[0]]), ms[at[own]].tolist(), own.tolist()
+        i = bisect_left(times, told[p] + cooldown_ms) if p in told else 0
+        while i < len(times):
+            kept.append(rows[i])
+            told[p] = times[i]
+            i = bisect_left(times, times[i] + cooldown_ms, i + 1)
+    for p in [p for p in near if max(seen[p // k], seen[p % k]) >= 0]:
+        del near[p]
+    ends = np.flatnonzero(at == np.maximum(seen[pair // k], seen[pair % k]))
+    near.update(zip(pair[ends].tolist(), since[ends].tolist()))
+    moved = seen >= 0
+    lat[moved], lon[moved] = x[seen[moved]], y[seen[moved]]
+    kept = np.array(kept, "int64")
+    kept = kept[np.lexsort((other[kept], at[kept]))]
+    return at[kept], me[at[kept]], other[kept], metres[at[kept], other[kept]], lasted[kept]
+
+
 def bus_bunching(gps: DataFrame, near_m: int = proximity.NEAR_M, near_for_ms: int = proximity.NEAR_FOR_MS,
                  cooldown_ms: int = proximity.COOLDOWN_MS) -> DataFrame:
     """State of a route: last positions, pairs now near (since when), last alert per pair.
@@ -114,47 +167,33 @@ def bus_bunching(gps: DataFrame, near_m: int = proximity.NEAR_M, near_for_ms: in
     def rule(rows: pd.DataFrame, held):
         buses, lats, lons, near_1, near_2, since, told_1, told_2, told_at = (
             [list(part) for part in held] if held else [[] for _ in range(9)])
-        near = dict(zip(zip(near_1, near_2), since))
-        told = dict(zip(zip(told_1, told_2), told_at))
-        partners: dict[str, set[str]] = {}
-        for one, two in near:
-            partners.setdefault(one, set()).add(two)
-            partners.setdefault(two, set()).add(one)
         names = np.array([*buses, *sorted(set(rows["bus_id"]) - set(buses))], dtype=object)
-        index = {name: i for i, name in enumerate(names)}
-        lat = np.full(len(names), np.nan)
-        lon = np.full(len(names), np.nan)
+        k, index = len(names), {name: i for i, name in enumerate(names)}
+        number = lambda one, two: min(index[one], index[two]) * k + max(index[one], index[two])
+        near = {number(*pair): t for *pair, t in zip(near_1, near_2, since)}
+        told = {number(*pair): t for *pair, t in zip(told_1, told_2, told_at)}
+        lat = np.full(k, np.nan)
+        lon = np.full(k, np.nan)
         lat[:len(buses)], lon[:len(buses)] = lats, lons
+        me = rows["bus_id"].map(index).to_numpy("int64")
+        x, y, ms = rows["lat"].to_numpy("float64"), rows["lon"].to_numpy("float64"), rows["ms"].to_numpy("int64")
         at, ones, twos, metres, spans = [], [], [], [], []
-        for i, (bus, x, y, ms) in enumerate(zip(rows["bus_id"], rows["lat"], rows["lon"], rows["ms"].tolist())):
-            me = index[bus]
-            distance = _distances(x, y, lat, lon)  # NaN where nothing is known yet
-            distance[me] = np.nan
-            lat[me], lon[me] = x, y
-            close = np.flatnonzero(distance < near_m)
-            close_names = {names[j] for j in close}
-            for other in partners.get(bus, set()) - close_names:
-                near.pop((min(bus, other), max(bus, other)), None)
-                partners[other].discard(bus)
-            partners[bus] = close_names
-            for j in close:
-                other = names[j]
-                pair = (min(bus, other), max(bus, other))
-                if pair not in near:
-                    near[pair] = ms
-                    partners.setdefault(other, set()).add(bus)
-                    continue
-                lasted = ms - near[pair]
-                if lasted >= near_for_ms and (pair not in told or ms - told[pair] >= cooldown_ms):
-                    told[pair] = ms
-                    at.append(i)
-                    ones.append(pair[0])
-                    twos.append(pair[1])
-                    metres.append(float(distance[j]))
-                    spans.append(lasted)
-        after = (names.tolist(), lat.tolist(), lon.tolist(),
-                 [p[0] for p in near], [p[1] for p in near], list(near.values()),
-                 [p[0] for p in told], [p[1] for p in told], list(told.values()))
+        step = max(1, CELLS // k)
+        for first in range(0, len(rows), step):
+            part = slice(first, first + step)
+            i, bus, other, distance, lasted = _bunched(me[part], x[part], y[part], ms[part], lat, lon, near, told,
+                                                       near_m, near_for_ms, cooldown_ms)
+            at += (first + i).tolist()
+            ones += np.minimum(names[bus], names[other]).tolist()
+            twos += np.maximum(names[bus], names[other]).tolist()
+            metres += distance.tolist()
+            spans += lasted.tolist()
+
+        def pairs(of: dict) -> list[list]:
+            named = [sorted((names[p // k], names[p % k])) for p in of]
+            return [[p[0] for p in named], [p[1] for p in named], list(of.values())]
+
+        after = (names.tolist(), lat.tolist(), lon.tolist(), *pairs(near), *pairs(told))
         return at, [ones, twos, metres, spans], after
 
     kept = _stateful(reports, "route_id", rule, extra, state)
