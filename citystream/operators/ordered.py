@@ -61,18 +61,21 @@ def trailing_values(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value
 
 def neighbour_positions(df: DataFrame, keys: Sequence[str], ts: str, seq: str, before: str, after: str,
                         slice_ms: int | None = None) -> DataFrame:
-    """Adds ``before`` and ``after``: ``struct(ts, seq)`` of the key's adjacent rows, or NULL."""
+    """Adds ``before`` and ``after``: ``struct(ts, seq)`` of the key's adjacent rows, or NULL.
+
+    Both parts of the result are written tables, to be read as often as needed.
+    """
     sliced = in_slices(df, keys, ts, seq, slice_ms)
     here = _position(ts, seq)
     local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq)
     across = Window.partitionBy(*keys).orderBy(ts, seq)
-    found = sliced.withColumns({before: F.lag(here).over(local), after: F.lead(here).over(local)})
+    found = cut(sliced.withColumns({before: F.lag(here).over(local), after: F.lead(here).over(local)}).drop("_slice"))
     open_end = F.col(before).isNull() | F.col(after).isNull()
-    edge = found.where(open_end).withColumns({
+    edge = cut(found.where(open_end).withColumns({
         before: F.coalesce(before, F.lag(here).over(across)),
         after: F.coalesce(after, F.lead(here).over(across)),
-    })
-    return found.where(~open_end).unionByName(edge).drop("_slice")
+    }))
+    return found.where(~open_end).unionByName(edge)
 
 
 def run_starts(df: DataFrame, keys: Sequence[str], ts: str, seq: str, previous: str, out: str,
@@ -86,9 +89,9 @@ def run_starts(df: DataFrame, keys: Sequence[str], ts: str, seq: str, previous:
     here, ms = _position(ts, seq), epoch_ms(F.col(ts))
     local = Window.partitionBy(*keys, "_slice").orderBy(ts, seq)
     inside = F.col("_before").isNotNull() & ~F.col("_before").eqNullSafe(F.col(previous))
-    marked = (sliced.withColumn("_before", F.lag(here).over(local))
-              .withColumn("_start", F.when(inside, ms))
-              .withColumn("_local", F.max("_start").over(local.rowsBetween(Window.unboundedPreceding, 0))))
+    marked = cut(sliced.withColumn("_before", F.lag(here).over(local))
+                 .withColumn("_start", F.when(inside, ms))
+                 .withColumn("_local", F.max("_start").over(local.rowsBetween(Window.unboundedPreceding, 0))))
 
     # One row per slice says whether its first row goes on from an earlier slice, and since when.
     across = Window.partitionBy(*keys).orderBy("_slice")

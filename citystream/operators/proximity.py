@@ -7,10 +7,12 @@ cell and time bucket, so far-apart pairs are never formed.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citystream.functions.geo import haversine_m, with_cell, with_cells_within
+from citystream.functions.geo import CELL_REACHES, haversine_m, with_cell, with_cells_within
 from citystream.functions.times import epoch_ms
 from citystream.operators.cooldown import cooldown
 from citystream.operators.detect import BUNCHING_ALERT
@@ -24,9 +26,12 @@ COOLDOWN_MS = 300_000
 
 # Time buckets of level n last this long times 4 to the n. A position goes to the level that is at
 # most as long as it stays current, and at least a quarter of that: so it lies in five buckets or
-# fewer, which cover less than twice its time on average.
+# fewer, which cover less than twice its time on average. Every report is looked up in every level;
+# a level of few positions is not worth that, they lie in more buckets of one up to DEEPER below.
 BUCKET_MS = 100
 TOP_LEVEL = 15
+DEEPER = 3
+CELL = ["level", "bucket", "band", "cell"]
 PAIR = ["route_id", "bus_1", "bus_2"]
 
 
@@ -45,18 +50,42 @@ def _bucket(ms: Column, level: Column) -> Column:
     return F.floor(ms / (F.pow(F.lit(4.0), level) * BUCKET_MS))
 
 
+def kept_levels(found: Mapping[int, tuple[int, float]]) -> list[int]:
+    """The levels that are worth a copy of every report, given the number of positions of each and their time in all.
+
+    Positions of the others go to the next kept level below, never above, where reports would meet more that are not
+    current. So rare long silences, of which a longer history has more kinds, add no copies.
+    """
+    reports, kept = sum(n for n, _ in found.values()), []
+    cells = (1 + 2 / CELL_REACHES) ** 2     # of one position, on average
+    for level in sorted(found):
+        if kept and level - kept[-1] <= DEEPER:
+            buckets = found[level][1] / BUCKET_MS * (4.0 ** -kept[-1] - 4.0 ** -level)
+            if buckets * cells < reports:
+                continue
+        kept.append(level)
+    return kept
+
+
+def _place() -> Column:
+    """Route, time bucket and grid cell as one number: rows are sorted by it alone, not by five columns one of which is text."""
+    return F.xxhash64("route_id", *[F.col(c).cast("bigint") for c in CELL])
+
+
 def meetings(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None) -> DataFrame:
     """Reports and last known positions of other vehicles that share route, time bucket and grid cell."""
     seen = neighbour_positions(
         usable_positions(gps).select("route_id", "bus_id", "lat", "lon", "timestamp", "event_time", "offset"),
         ["route_id", "bus_id"], "event_time", "offset", "before", "after", slice_ms)
-    seen = cut(seen).withColumns({"ms": epoch_ms(F.col("event_time")),
-                             "here": F.struct(F.col("event_time").alias("ts"), F.col("offset").alias("seq"))})
+    seen = seen.where("event_time is not null").withColumns({
+        "ms": epoch_ms(F.col("event_time")), "here": F.struct(F.col("event_time").alias("ts"), F.col("offset").alias("seq"))})
 
     # A vehicle without a later report keeps its position up to the end of the data.
     last_ms = seen.agg(F.max("ms")).scalar()
     seen = seen.withColumn("until", F.coalesce(epoch_ms(F.col("after.ts")), last_ms)).withColumn("level", _level())
-    levels = [r.level for r in seen.select("level").distinct().collect()]  # TOP_LEVEL + 1 values at most
+    found = seen.groupBy("level").agg(F.count("*").alias("n"), F.sum((F.col("until") - F.col("ms")).cast("double")).alias("stay"))
+    levels = kept_levels({r.level: (r.n, r.stay) for r in found.collect()})  # TOP_LEVEL + 1 rows at most
+    seen = seen.withColumn("level", F.coalesce(*[F.when(F.col("level") >= x, x) for x in reversed(levels)], "level"))
     known = (
         seen.select("route_id", "level",
                     F.col("bus_id").alias("other_bus"), F.col("lat").alias("other_lat"),
@@ -64,13 +93,19 @@ def meetings(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None
                     F.col("here").alias("known_at"), F.col("after").alias("replaced_at"),
                     F.explode(F.sequence(_bucket(F.col("ms"), F.col("level")),
                                          _bucket(F.col("until"), F.col("level")))).alias("bucket")))
-    known = with_cells_within(known, "other_lat", "other_lon", near_m)
+    known = with_cells_within(known, "other_lat", "other_lon", near_m).withColumn("place", _place())
     reports = (
-        with_cell(seen.drop("after", "until", "level"), "lat", "lon", near_m)
+        with_cell(seen.select("route_id", "bus_id", "lat", "lon", "timestamp", "ms", "here", "before"), "lat", "lon", near_m)
         .withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
-        .withColumn("bucket", _bucket(F.col("ms"), F.col("level"))))
+        .withColumn("bucket", _bucket(F.col("ms"), F.col("level"))).withColumn("place", _place()).drop("ms"))
 
-    return reports.join(known, ["route_id", "level", "bucket", "band", "cell"]).where(F.col("bus_id") != F.col("other_bus"))
+    # Two places may share a number, so what it stands for is compared as well; as ranges, since Spark would sort by every
+    # column that is compared by equality.
+    met = reports.join(known.withColumnsRenamed({c: f"other_{c}" for c in ("route_id", *CELL)}), "place")
+    for c in ("route_id", *CELL):
+        met = met.where(F.col(c).between(F.col(f"other_{c}"), F.col(f"other_{c}")))
+    return (met.where(F.col("bus_id") != F.col("other_bus")).withColumns({"event_time": F.col("here.ts"), "offset": F.col("here.seq")})
+            .drop("place", *[f"other_{c}" for c in ("route_id", *CELL)]))
 
 
 def contacts(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None) -> DataFrame:
@@ -111,8 +146,9 @@ def bunching_alert_columns(df: DataFrame, near_m: int = NEAR_M) -> DataFrame:
 
 def bus_bunching(gps: DataFrame, near_m: int = NEAR_M, near_for_ms: int = NEAR_FOR_MS,
                  cooldown_ms: int = COOLDOWN_MS, slice_ms: int | None = None) -> DataFrame:
-    met = contacts(gps, near_m, slice_ms)
-    found = cut(near_runs(cut(met) if slice_ms else met, slice_ms).where(F.col("near_ms") >= near_for_ms).select(
+    # written before the runs are sought: the ranges they are cut into take a pass of their own over the contacts
+    met = cut(contacts(gps, near_m, slice_ms).drop("other_timestamp"))
+    found = cut(near_runs(met, slice_ms).where(F.col("near_ms") >= near_for_ms).select(
         *PAIR, "timestamp", "event_time", "offset", "distance_m", "near_ms"))
     kept = cooldown(found, PAIR, "event_time", "offset", cooldown_ms)
     return bunching_alert_columns(kept, near_m).select(*BUNCHING_ALERT, "event_time")

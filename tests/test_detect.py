@@ -1,5 +1,7 @@
 """Edges of the incident rules, and the batch rules against event-by-event replays."""
 
+import re
+
 import numpy as np
 import pytest
 from helpers import air, at, bunching, gps, metres, signals
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citystream.functions import geo
 from citystream.operators import detect, proximity
+from citystream.operators.ordered import run_starts
 
 
 def test_aqi_threshold_and_severity(spark):
@@ -89,6 +92,58 @@ def test_contacts_against_replay(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def _replayed_contacts(rows):
+    where, want = {}, set()
+    for i, (route, bus, _, lat, lon) in enumerate(rows):
+        for (r, other), (la, lo) in where.items():
+            if r == route and other != bus and metres(lat, lon, la, lo) < 200:
+                want.add((route, *sorted([bus, other]), i))
+        where[(route, bus)] = (lat, lon)
+    return want
+
+
+@pytest.mark.parametrize("numbers", [1, 3])
+def test_contacts_when_places_share_a_number(spark, monkeypatch, numbers):
+    rows = _walk(4, n=200)
+    monkeypatch.setattr(proximity, "_place", lambda: F.pmod(F.xxhash64("route_id", *proximity.CELL), F.lit(numbers)))
+    got = [(r.route_id, r.bus_1, r.bus_2, r.offset) for r in proximity.contacts(gps(spark, rows)).collect()]
+    assert len(got) == len(set(got)) and set(got) == _replayed_contacts(rows)
+
+
+def test_levels_of_few_positions_get_no_copies_of_the_reports():
+    usual = {3: (1_000, 1_000 * 12_000.0), 4: (900, 900 * 50_000.0)}
+    assert proximity.kept_levels(usual) == [3, 4]
+    assert proximity.kept_levels(usual | {5: (3, 3 * 150_000.0), 6: (1, 500_000.0)}) == [3, 4]
+    assert proximity.kept_levels(usual | {5: (800, 800 * 150_000.0)}) == [3, 4, 5]
+    # not below DEEPER: one position must not lie in very many buckets; and never in longer ones
+    assert proximity.kept_levels(usual | {1: (1, 1_000.0), 8: (1, 1e7)}) == [1, 3, 4, 8]
+    assert proximity.kept_levels({}) == []
+
+
+def test_contacts_after_rare_long_silences(spark):
+    rows = _walk(12, n=400, gap=(1, 2, 3, 4_000), step=0.0004)
+    silent = [("r0", "late", 0.0, 12.902, 77.502), *rows, ("r0", "late", rows[-1][2] + 1, 12.902, 77.502)]
+    got = [(r.route_id, r.bus_1, r.bus_2, r.offset) for r in proximity.contacts(gps(spark, silent)).collect()]
+    assert len(got) == len(set(got)) and set(got) == _replayed_contacts(silent) and any("late" in g for g in got)
+
+
+def test_contacts_are_found_once_and_sorted_by_one_number(spark, monkeypatch):
+    """The ranges in which runs are sought take a pass over the contacts, which must not be another join."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    sought = []
+    monkeypatch.setattr(proximity, "run_starts", lambda df, *rest: sought.append(plan(df)) or run_starts(df, *rest))
+    proximity.bus_bunching(gps(spark, _walk(2, n=60)))
+    assert len(sought) == 1 and "Join" not in sought[0] and "Generate" not in sought[0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(proximity.contacts(gps(spark, _walk(2, n=60))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"SortMergeJoin \[place#\d+L\], \[place#\d+L\]", text)
+
+
 @pytest.mark.parametrize("lat0,lon0", [(0.0, 0.0), (0.0, 180.0), (60.0, -180.0), (89.9995, 0.0), (-90.0, 10.0), (45.0, 7.0)])
 def test_grid_finds_every_near_point(spark, lat0, lon0):
     """Also across ±180° and around the poles; each near pair meets exactly once."""
