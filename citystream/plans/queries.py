@@ -373,7 +373,7 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # no rule needs another's steps, so those of one run while another's last tasks do
     rules = ((detect.aqi_emergencies, "air_quality"), (detect.gridlocks, "traffic_signals"), (proximity.bus_bunching, "bus_gps"))
     with ThreadPoolExecutor(len(rules)) as pool:
-        begun = [pool.submit(inheritable_thread_target(copy_context().run), rule, _view(topic, spark, sf_dir)) for rule, topic in rules]
+        begun = [pool.submit(inheritable_thread_target(spark)(copy_context().run), rule, _view(topic, spark, sf_dir)) for rule, topic in rules]
         return detect.incidents(*[one.result() for one in begun])
 
 
