@@ -67,11 +67,6 @@ def kept_levels(found: Mapping[int, tuple[int, float]]) -> list[int]:
     return kept
 
 
-def _place() -> Column:
-    """Route, time bucket and grid cell as one number: rows are sorted by it alone, not by five columns one of which is text."""
-    return F.xxhash64("route_id", *[F.col(c).cast("bigint") for c in CELL])
-
-
 def meetings(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None) -> DataFrame:
     """Reports and last known positions of other vehicles that share route, time bucket and grid cell."""
     seen = neighbour_positions(
@@ -93,19 +88,14 @@ def meetings(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None
                     F.col("here").alias("known_at"), F.col("after").alias("replaced_at"),
                     F.explode(F.sequence(_bucket(F.col("ms"), F.col("level")),
                                          _bucket(F.col("until"), F.col("level")))).alias("bucket")))
-    known = with_cells_within(known, "other_lat", "other_lon", near_m).withColumn("place", _place())
+    known = with_cells_within(known, "other_lat", "other_lon", near_m)
     reports = (
         with_cell(seen.select("route_id", "bus_id", "lat", "lon", "timestamp", "ms", "here", "before"), "lat", "lon", near_m)
         .withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
-        .withColumn("bucket", _bucket(F.col("ms"), F.col("level"))).withColumn("place", _place()).drop("ms"))
-
-    # Two places may share a number, so what it stands for is compared as well; as ranges, since Spark would sort by every
-    # column that is compared by equality.
-    met = reports.join(known.withColumnsRenamed({c: f"other_{c}" for c in ("route_id", *CELL)}), "place")
-    for c in ("route_id", *CELL):
-        met = met.where(F.col(c).between(F.col(f"other_{c}"), F.col(f"other_{c}")))
-    return (met.where(F.col("bus_id") != F.col("other_bus")).withColumns({"event_time": F.col("here.ts"), "offset": F.col("here.seq")})
-            .drop("place", *[f"other_{c}" for c in ("route_id", *CELL)]))
+        .withColumn("bucket", _bucket(F.col("ms"), F.col("level"))).drop("ms"))
+
+    met = reports.join(known, ["route_id", *CELL]).where(F.col("bus_id") != F.col("other_bus"))
+    return met.withColumns({"event_time": F.col("here.ts"), "offset": F.col("here.seq")})
 
 
 def contacts(gps: DataFrame, near_m: float = NEAR_M, slice_ms: int | None = None) -> DataFrame:
